@@ -96,40 +96,36 @@ def split_convertible(properties: DataFrame) -> tuple[DataFrame, DataFrame]:
 def flatten_missing_only(features: DataFrame, feature: str = "feature") -> DataFrame:
     """Default only where the key is absent; an explicit null stays null.
 
-    ``feature`` is a VARIANT column, which tells the two apart. The flag column ``_failed`` marks
-    rows the reference semantics drop: a null feature, a null properties, geometry or coordinates
-    object, fewer than three coordinates, an absent time key, a value that does not convert.
+    ``feature`` is read as ``VARIANT_FEATURE``, which tells the two apart. The flag column
+    ``_failed`` marks rows the null-preserving flatten leaves out: no properties or no time key, an
+    explicit null geometry or coordinate list, fewer than three coordinates, a present value that
+    does not convert.
     """
-    v = F.col(feature)
-
-    def present(path: str) -> Column:
-        # SQL null only when the path is absent; an explicit null is a variant null.
-        return F.try_variant_get(v, path, "variant").isNotNull()
-
-    def explicit_null(path: str) -> Column:
-        return F.coalesce(F.is_variant_null(F.try_variant_get(v, path, "variant")), F.lit(False))
-
-    columns, failures = [], [v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(False))]
-    for path in ("$.properties", "$.geometry", "$.geometry.coordinates"):
-        failures.append(explicit_null(path))
-    has_coordinates = present("$.geometry.coordinates")
+    geometry = F.col(f"{feature}.geometry")
+    coordinates = F.try_variant_get(geometry, "$.coordinates", "variant")
+    columns = []
+    failures = [_explicit_null(geometry), _explicit_null(coordinates)]
     for f in EVENT_FIELDS:
-        kind = FLAT_TYPES[f.kind]
         if f.name in COORDINATES:
-            path = f"$.geometry.coordinates[{COORDINATES[f.name]}]"
-            absent = ~has_coordinates
-            failures.append(has_coordinates & ~present(path))
+            leaf = F.try_variant_get(geometry, f"$.coordinates[{COORDINATES[f.name]}]", "variant")
+            absent = coordinates.isNull()
+            failures.append(~absent & leaf.isNull())
         else:
-            path = f"$.properties.{f.name}"
-            absent = ~present(path)
+            leaf = F.col(f"{feature}.properties.{f.name}")
+            absent = leaf.isNull()
             if f.kind == "epoch_ms":
                 failures.append(absent)
-        value = F.try_variant_get(v, path, kind.simpleString())
-        failures.append(value.isNull() & present(path) & ~explicit_null(path))
-        columns.append(F.coalesce(value, F.when(absent, _typed_default(f))).alias(f.name))
+        value = F.try_variant_get(leaf, "$", FLAT_TYPES[f.kind].simpleString())
+        if f.kind != "string":
+            failures.append(leaf.isNotNull() & value.isNull() & ~_explicit_null(leaf))
+        columns.append(F.when(absent, _typed_default(f)).otherwise(value).alias(f.name))
     return features.select(*columns, reduce(lambda a, b: a | b, failures).alias(FAILED))
 
 
+def _explicit_null(leaf: Column) -> Column:
+    return F.coalesce(F.is_variant_null(leaf), F.lit(False))
+
+
 def split_failed(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped) by the ``_failed`` flag."""
     return (

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from seismark.functions.text import area_regex, area_split
 from seismark.functions.times import epoch_ms_to_string, epoch_ms_to_timestamp
@@ -17,7 +16,7 @@ from seismark.operators.project import (
     split_convertible,
     split_failed,
 )
-from seismark.schema import CURATED_COLUMNS
+from seismark.schema import CURATED_COLUMNS, VARIANT_FEATURE
 from seismark.sources.documents import explode_features
 
 AREA_RULES = {"split": area_split, "regex": area_regex}
@@ -42,14 +41,13 @@ def with_ingestion_time(flat: DataFrame, at: dt.datetime | Column | None = None)
 def flatten(documents: DataFrame, missing: str = "null") -> tuple[DataFrame, DataFrame]:
     """(flat rows, failed rows) of parsed documents.
 
-    The null policy follows the feature type: typed features take the default for missing and
-    null values alike; VARIANT features keep an explicit null.
+    The null policy follows the feature type: ``RAW_FEATURE`` takes the default for missing and
+    null values alike; ``VARIANT_FEATURE`` keeps an explicit null.
     """
     features = explode_features(documents)
-    if isinstance(features.schema["feature"].dataType, T.VariantType):
+    if features.schema["feature"].dataType == VARIANT_FEATURE:
         return split_failed(flatten_missing_only(features))
-    present = features.filter(F.col("feature").isNotNull())
-    convertible, failed = split_convertible(extract_properties(present, missing=missing))
+    convertible, failed = split_convertible(extract_properties(features, missing=missing))
     return flatten_coerce_default(convertible), failed
 
 

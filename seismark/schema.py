@@ -76,10 +76,20 @@ RAW_FEATURE = T.StructType(
     ]
 )
 
+# The same feature with VARIANT leaves: an absent key is SQL null, an explicit null is not.
+VARIANT_FEATURE = T.StructType(
+    [
+        T.StructField(
+            "properties",
+            T.StructType([T.StructField(f.name, T.VariantType()) for f in PROPERTY_FIELDS]),
+        ),
+        T.StructField("geometry", T.VariantType()),
+    ]
+)
+
 
-def document_schema(feature: T.DataType = RAW_FEATURE) -> T.StructType:
-    """A landed document; the feature is a struct, or ``VariantType()`` to keep absent keys apart
-    from explicit nulls."""
+def document_schema(feature: T.StructType) -> T.StructType:
+    """A landed document, and the text of one that did not parse."""
     return T.StructType(
         [
             T.StructField("features", T.ArrayType(feature)),
@@ -88,8 +98,8 @@ def document_schema(feature: T.DataType = RAW_FEATURE) -> T.StructType:
     )
 
 
-RAW_DOCUMENT = document_schema()
-VARIANT_DOCUMENT = document_schema(T.VariantType())
+RAW_DOCUMENT = document_schema(RAW_FEATURE)
+VARIANT_DOCUMENT = document_schema(VARIANT_FEATURE)
 
 FLAT_SCHEMA = T.StructType([T.StructField(f.name, FLAT_TYPES[f.kind]) for f in EVENT_FIELDS])
 

@@ -101,8 +101,13 @@ def read_landing_split(
 
 
 def explode_features(documents: DataFrame) -> DataFrame:
-    """One row per feature; a document with a missing, null or empty list gives none."""
-    return documents.select(F.explode("features").alias("feature"))
+    """One row per feature; a document with a missing, null or empty list gives none.
+
+    The outer form is used on purpose: the plain one adds a filter on the size of the list, and
+    that filter would parse the text a second time underneath the parsing step.
+    """
+    exploded = documents.select(F.explode_outer("features").alias("feature"))
+    return exploded.filter(F.col("feature").isNotNull())
 
 
 def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
