@@ -112,7 +112,9 @@ def explode_features(documents: DataFrame) -> DataFrame:
 
 def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable, quarantined). A document is quarantined when any of it did not parse; what
-    did parse of it stays among the readable ones."""
+    did parse of it stays among the readable ones, as ``partly_read`` tells."""
     readable = documents.filter(F.col("features").isNotNull())
-    broken = documents.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("document"))
+    broken = documents.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("document"), F.col("features").isNotNull().alias("partly_read")
+    )
     return readable, broken
