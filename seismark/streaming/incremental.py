@@ -20,8 +20,8 @@ def incremental_append(
     transform: Callable[[DataFrame], DataFrame] = curate,
     name: str = "stream",
     max_files_per_batch: int = 1000,
-) -> int:
-    """Take in every landed file not yet seen, then stop. Returns the number of batches run.
+) -> None:
+    """Take in every landed file not yet seen, then stop.
 
     The checkpoint remembers which files belong to which batch, and a batch is written as the
     partition ``load_id=<name>-<batch>``. A batch that is repeated after a crash therefore
@@ -40,4 +40,3 @@ def incremental_append(
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)

@@ -90,7 +90,7 @@ def curated_sql(keep_nulls: bool) -> str:
         "CASE WHEN value >= 200 THEN 0.0 WHEN value >= 5 THEN value "
         f"ELSE {'NULL' if keep_nulls else '0.0'} END"
     )
-    null_text = "NULL" if keep_nulls else "''"
+    null_text = "CAST(NULL AS VARCHAR)" if keep_nulls else "''"
 
     def coordinate(text: str) -> str:
         return f"CASE WHEN {_GEOMETRY_LOST} THEN 0.0::DOUBLE ELSE {text} END"

@@ -266,6 +266,34 @@ def test_incremental_run_takes_each_file_once(spark, tmp_path):
     assert loads == 4
 
 
+def test_a_batch_repeated_after_a_crash_adds_no_rows(spark, tmp_path, monkeypatch):
+    """The first attempt dies after its rows are written and before the batch is committed."""
+    from seismark.streaming import incremental
+
+    landing, target, seen = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
+    landed(tmp_path / "landing", 1.0, 2.0)
+
+    def write_then_die(*args):
+        append_load(*args)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "append_load", write_then_die)
+        with pytest.raises(Exception, match="driver lost"):
+            incremental_append(spark, landing, target, seen, reader=read_landing_text)
+    assert content(read_parquet(spark, target).select("mag")) == [(1.0,), (2.0,)]
+    landed(tmp_path / "landing", 3.0)
+    incremental_append(spark, landing, target, seen, reader=read_landing_text)
+    assert content(read_parquet(spark, target).select("mag")) == [(1.0,), (2.0,), (3.0,)]
+
+
+def test_incremental_run_with_whole_file_documents(spark, tmp_path):
+    landing, target, seen = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
+    landed(tmp_path / "landing", 1.0)
+    incremental_append(spark, landing, target, seen)
+    assert content(read_parquet(spark, target).select("mag", "area")) == [(1.0, "P1.0, Q")]
+
+
 def test_a_repeated_load_replaces_its_own_rows(spark, tmp_path):
     target = str(tmp_path / "target")
     append_load(frame(spark, (1, "a")), target, "stream-00000000")

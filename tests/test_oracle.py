@@ -11,6 +11,10 @@ import pytest
 
 from seismark.workload import ORACLE, QUERIES
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -28,6 +32,10 @@ def test_query_equals_sql(spark, duck, name):
     expected = duck.execute(ORACLE[name])
     columns = [d[0] for d in expected.description]
     assert sorted(result.columns) == sorted(columns)
+    found = {f.name: TYPES[f.dataType.simpleString()] for f in result.schema}
+    declared = duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()
+    assert found == {row[0]: row[1] for row in declared}
+    expected = duck.execute(ORACLE[name])
     order = sorted(columns)
     want = Counter(
         tuple(row[columns.index(c)] for c in order) for row in expected.fetchall()
