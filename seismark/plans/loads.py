@@ -9,12 +9,12 @@ from contextlib import AbstractContextManager, nullcontext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from seismark.plans.curate import curate
+from seismark.plans.curate import curate, flatten
 from seismark.schema import CORRUPT, CURATED_SCHEMA, REQUIRED_COLUMNS, REQUIRED_COLUMNS_SCHEDULED
 from seismark.sinks.audit import AuditLog
 from seismark.sinks.files import dated, write_ndjson, write_parquet_overwrite
 from seismark.sinks.gates import require_rows
-from seismark.sinks.tables import LoadResult, load_ndjson, load_table
+from seismark.sinks.tables import LoadResult, load_ndjson, load_table, with_row_count
 from seismark.sources.documents import read_landing_geojson, split_documents
 
 Reader = Callable[[SparkSession, str], DataFrame]
@@ -41,22 +41,37 @@ def load_landed_day(
     """Curate the landed documents of one day into ``silver`` and load that day into ``table``.
 
     The table is loaded from the written Parquet, so the required-column check is a scan of those
-    columns and a failed table load repeats no parsing. Documents that did not parse are counted
-    while the day is written, and only if there are any are they read again into ``quarantine``.
+    columns and a failed table load repeats no parsing. Documents, features and rows are counted
+    while the day is written and noted in the audit log. Only when some document did not parse or
+    some feature gave no row are these read again, into ``quarantine``.
     """
     documents = reader(spark, landing)
-    with _step(audit, "curate_to_parquet", landing):
+    with _step(audit, "curate_to_parquet", landing) as step:
         require_rows(curate(documents))
         seen = Observation()
-        counted = documents.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("broken"))
-        write_parquet_overwrite(
-            curate(counted, ingested_at=ingested_at), silver, day, refuse_empty=False
+        counted = documents.observe(
+            seen,
+            F.count(F.lit(1)).alias("documents"),
+            F.count_if(F.col(CORRUPT).isNotNull()).alias("broken_documents"),
+            F.coalesce(F.sum(F.array_size("features")), F.lit(0)).alias("features"),
         )
-        if quarantine is not None and seen.get["broken"]:
-            split_documents(documents)[1].write.mode("overwrite").parquet(dated(quarantine, day))
-    with _step(audit, "load_table", table):
-        written = spark.read.parquet(dated(silver, day))
-        return load_table(written, table, disposition, location, required)
+        rows, written = with_row_count(curate(counted, ingested_at=ingested_at))
+        write_parquet_overwrite(rows, silver, day, refuse_empty=False)
+        counts = {**seen.get, **written.get}
+        if step is not None:
+            step.info = f"{landing} {counts}"
+        if quarantine is not None and counts["broken_documents"]:
+            broken = split_documents(documents)[1]
+            broken.write.mode("overwrite").parquet(dated(f"{quarantine}/documents", day))
+        if quarantine is not None and counts["features"] != counts["rows"]:
+            failed = flatten(documents)[1]
+            failed.write.mode("overwrite").parquet(dated(f"{quarantine}/rows", day))
+    with _step(audit, "load_table", table) as step:
+        day_rows = spark.read.parquet(dated(silver, day))
+        loaded = load_table(day_rows, table, disposition, location, required)
+        if step is not None:
+            step.info = f"{table} {loaded.rows} rows"
+    return loaded
 
 
 def historical_load(spark, landing, silver, table, day, **options) -> LoadResult:
@@ -85,5 +100,6 @@ def json_route_load(
     require_rows(rows)
     write_ndjson(rows, ndjson)
     return load_ndjson(
-        spark, ndjson, CURATED_SCHEMA, table, max_bad_records, "truncate", location
+        spark, ndjson, CURATED_SCHEMA, table, max_bad_records, "truncate", location,
+        required=REQUIRED_COLUMNS,
     )

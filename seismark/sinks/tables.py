@@ -105,6 +105,7 @@ def load_ndjson(
     disposition: str = "truncate",
     location: str | None = None,
     quarantine: str | None = None,
+    required: Sequence[str] = (),
 ) -> LoadResult:
     """Load newline-delimited JSON, accepting up to ``max_bad_records`` unreadable lines.
 
@@ -122,7 +123,7 @@ def load_ndjson(
         bad.write.mode("overwrite").parquet(quarantine)
     if n_bad > max_bad_records:
         raise BadRecordBudgetExceeded(f"{n_bad} bad records, {max_bad_records} allowed")
-    return load_table(good, table, disposition, location)
+    return load_table(good, table, disposition, location, required)
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

@@ -34,7 +34,7 @@ def feature_texts(events: DataFrame) -> DataFrame:
         (value / 2).alias("felt"),
         F.lit(None).cast("string").alias("alert"),
         F.lit("reviewed").alias("status"),
-        (key_number % 2).alias("tsunami"),
+        F.when(key_number >= 50, 1).otherwise(0).alias("tsunami"),
         key_number.alias("sig"),
         F.concat(F.lit(","), F.col("event_id").cast("string"), F.lit(",")).alias("ids"),
         F.lit("ml").alias("magType"),
@@ -106,7 +106,7 @@ def curated_sql(keep_nulls: bool) -> str:
            date_trunc('millisecond', ts) + INTERVAL 1500 MILLISECOND AS updated,
            {null_text} AS tz, '' AS url, '' AS detail,
            CAST(trunc(value / 2) AS INTEGER) AS felt, 0.0::DOUBLE AS cdi, 0.0::DOUBLE AS mmi,
-           {null_text} AS alert, 'reviewed' AS status, {_K} % 2 AS tsunami, {_K} AS sig,
+           {null_text} AS alert, 'reviewed' AS status, CASE WHEN {_K} >= 50 THEN 1 ELSE 0 END AS tsunami, {_K} AS sig,
            '' AS net, '' AS code, ',' || event_id::VARCHAR || ',' AS ids, '' AS sources,
            '' AS types, 0::INTEGER AS nst, 0.0::DOUBLE AS dmin, 0.0::DOUBLE AS rms,
            0.0::DOUBLE AS gap, 'ml' AS "magType", event_type AS "type",

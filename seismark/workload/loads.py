@@ -159,11 +159,11 @@ def history_then_daily_table(spark, sf):
 @query(
     "SELECT CASE WHEN value > 100 THEN NULL "
     "ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, "
-    "CASE WHEN value > 100 THEN substr(props, 1, length(props) - 1) END AS record FROM events"
+    "CASE WHEN value > 100 THEN replace(props, '}', '') END AS record FROM events"
 )
 def bad_record_split(spark, sf):
-    """Lines with their last brace cut off go to the side output, the others parse."""
-    broken = F.expr("substr(props, 1, length(props) - 1)")
+    """Lines without their closing brace go to the side output, the others parse."""
+    broken = F.replace(F.col("props"), F.lit("}"), F.lit(""))
     path = work_folder(spark, "lines")
     (
         table(spark, sf, "events")

@@ -186,7 +186,9 @@ def test_history_and_daily_loads(spark, tmp_path, table):
     assert (first.rows, second.rows) == (2, 1)
     rows = read_table(spark, table).orderBy("mag").collect()
     assert [(r.mag, r.area) for r in rows] == [(1.0, "P1.0, Q"), (2.0, "P2.0, Q"), (3.0, "P3.0, Q")]
-    assert read_parquet(spark, bad).count() == 1
+    assert read_parquet(spark, f"{bad}/documents").count() == 1
+    notes = {r.additional_info for r in log.read().filter("status = 'SUCCESS'").collect()}
+    assert any("'documents': 3, 'broken_documents': 1, 'features': 2" in n for n in notes)
     assert read_parquet(spark, silver).groupBy("ingest_date").count().count() == 2
     assert content(log.read().select("step_name", "status")) == [
         ("curate_to_parquet", "STARTED"), ("curate_to_parquet", "SUCCESS"),
@@ -194,6 +196,25 @@ def test_history_and_daily_loads(spark, tmp_path, table):
     ]
 
 
+def test_features_that_give_no_row_are_quarantined(spark, tmp_path, table):
+    landing = landed(tmp_path / "h", 1.0)
+    odd = {"features": [{"properties": {"sig": 1e12, "ids": "big"}}]}
+    (tmp_path / "h" / "odd.json").write_text(json.dumps(odd))
+    loaded = historical_load(
+        spark, landing, str(tmp_path / "s"), table, "20240101", reader=read_landing_text,
+        quarantine=str(tmp_path / "bad"),
+    )
+    assert loaded.rows == 1
+    assert [r.ids for r in read_parquet(spark, str(tmp_path / "bad" / "rows")).collect()] == ["big"]
+    assert not (tmp_path / "bad" / "documents").exists()
+
+
+def test_empty_appends_are_counted_as_zero(spark, table):
+    for _ in range(2):
+        assert load_table(frame(spark), table, "append").rows == 0
+    assert load_table(spark.range(3).filter("1 = 0"), table, "truncate", refuse_empty=False).rows == 0
+
+
 def test_history_with_no_document_leaves_the_table(spark, tmp_path, table):
     silver = str(tmp_path / "silver")
     historical_load(
