@@ -78,9 +78,13 @@ def read_landing_split(
         .filter(F.trim("value") != "")
     )
     is_feature = ~F.col("value").rlike(r"^\s*\{")
-    array_text = F.concat(
-        F.lit("[" + marker), F.regexp_replace("value", r",\s*$", "]")
-    )
+    trimmed = F.rtrim("value")
+    # The plain blank is the usual end of a piece; only other ends pay for the pattern.
+    closed = F.when(
+        trimmed.endswith(","),
+        F.concat(F.left(trimmed, F.length(trimmed) - F.lit(1)), F.lit("]")),
+    ).otherwise(F.regexp_replace("value", r",\s*$", "]"))
+    array_text = F.concat(F.lit("[" + marker), closed)
     return (
         pieces.withColumn("_array", F.when(is_feature, array_text))
         .withColumn("_features", F.from_json("_array", T.ArrayType(feature)))
