@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AsOf = Column | dt.datetime | dt.date | None
+# A moment, or a one-row frame that yields it, such as ``events.agg(F.max("time"))``.
+AsOf = Column | DataFrame | dt.datetime | dt.date | None
 
 
 def value_gt(df: DataFrame, value: str = "mag", threshold: float = 5) -> DataFrame:
@@ -15,29 +17,38 @@ def value_gt(df: DataFrame, value: str = "mag", threshold: float = 5) -> DataFra
     return df.filter(F.col(value) > threshold)
 
 
-def _anchor(as_of: AsOf, now: Column) -> Column:
+def _start(as_of: AsOf, now: Column, shift: Callable[[Column], Column]) -> Column:
+    """The shifted moment. For a frame the shift is part of the scalar subquery: the filter then
+    compares a column with a bare scalar, which is a form the scan can use."""
+    if isinstance(as_of, DataFrame):
+        return as_of.select(shift(F.col(as_of.columns[0]))).scalar()
     if as_of is None:
-        return now
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+        return shift(now)
+    return shift(as_of if isinstance(as_of, Column) else F.lit(as_of))
 
 
 def last_days_rolling(
     df: DataFrame, time: str = "time", days: int = 7, as_of: AsOf = None
 ) -> DataFrame:
     """At or after ``days`` times 24 hours before ``as_of`` (default: now)."""
-    anchor = _anchor(as_of, F.current_timestamp()).cast(df.schema[time].dataType)
-    return df.filter(F.col(time) >= anchor - F.make_dt_interval(F.lit(days)))
+    kind, span = df.schema[time].dataType, F.make_dt_interval(F.lit(days))
+    start = _start(as_of, F.current_timestamp(), lambda moment: moment.cast(kind) - span)
+    return df.filter(F.col(time) >= start)
 
 
 def last_days_calendar(
     df: DataFrame, date: str = "date", days: int = 7, as_of: AsOf = None
 ) -> DataFrame:
-    """On or after the date ``days`` before ``as_of`` (default: today), so ``days + 1`` dates."""
-    anchor = _anchor(as_of, F.current_date()).cast("date")
-    if df.schema[date].dataType.typeName() == "date":
-        return df.filter(F.col(date) >= F.date_sub(anchor, days))
-    # The same test on the time itself, so that it reaches the scan.
-    start = F.date_sub(anchor, days).cast(df.schema[date].dataType)
+    """On or after the date ``days`` before ``as_of`` (default: today), so ``days + 1`` dates.
+
+    A time column is compared with the first midnight, so that the test reaches the scan.
+    """
+    kind = df.schema[date].dataType
+    start = _start(
+        as_of,
+        F.current_date(),
+        lambda moment: F.date_sub(moment.cast("date"), days).cast(kind),
+    )
     return df.filter(F.col(date) >= start)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seismark.operators import aggregates as agg
@@ -126,16 +126,17 @@ def strongest_last_days(
 
 
 def strongest_last_days_sql(
-    df: DataFrame, c: EventColumns = CURATED, days: int = 7,
-    as_of_sql: str = "current_timestamp()",
+    df: DataFrame, c: EventColumns = CURATED, days: int = 7, since_sql: str | None = None
 ) -> DataFrame:
-    """The same answer in SQL. ``as_of_sql`` is an expression and may query ``{events}``."""
-    time_type = df.schema[c.time].dataType.simpleString()
+    """The same answer in SQL. ``since_sql`` states the start of the period and may be a scalar
+    subquery over ``{events}``; without it the period ends now."""
+    if since_sql is None:
+        kind = df.schema[c.time].dataType.simpleString()
+        since_sql = f"CAST(current_timestamp() AS {kind}) - INTERVAL '{days}' DAY"
     return df.sparkSession.sql(
         f"""
         WITH recent AS (
-            SELECT {c.region}, {c.time}, {c.value} FROM {{events}}
-            WHERE {c.time} >= CAST({as_of_sql} AS {time_type}) - INTERVAL '{days}' DAY
+            SELECT {c.region}, {c.time}, {c.value} FROM {{events}} WHERE {c.time} >= {since_sql}
         )
         SELECT {c.region}, {c.time}, {c.value} FROM recent
         WHERE {c.value} = (SELECT max({c.value}) FROM recent)
@@ -188,6 +189,6 @@ def most_intense_region(df: DataFrame, c: EventColumns = CURATED) -> DataFrame:
     return agg.argmax_intensity(df, c.region, c.value)
 
 
-def latest(df: DataFrame, time: str) -> Column:
-    """The newest time of a frame as a scalar, to anchor the week on stored data."""
-    return df.agg(F.max(time)).scalar()
+def latest(df: DataFrame, time: str) -> DataFrame:
+    """The newest time of a frame as one row, to anchor the week on stored data."""
+    return df.agg(F.max(time).alias("latest"))

@@ -66,7 +66,10 @@ def load_table(
         require_values(df, required)
     exists = spark.catalog.tableExists(table)
     if disposition == "append" and exists:
-        counted, observation = with_row_count(df.select(*spark.table(table).columns))
+        columns = spark.table(table).columns
+        if set(columns) != set(df.columns):
+            raise ValueError(f"columns differ from {table}: {sorted(set(columns) ^ set(df.columns))}")
+        counted, observation = with_row_count(df.select(*columns))
         counted.write.format("parquet").mode("append").saveAsTable(table)
         return LoadResult(table, observation.get["rows"])
     if disposition == "truncate" and refuse_empty:

@@ -14,6 +14,7 @@ from seismark.operators.filters import (
     last_days_rolling,
     not_null,
 )
+from seismark.operators.project import select_columns
 from seismark.plans import questions as ask
 from seismark.plans.questions import EventColumns, latest
 from seismark.sources.tables import read_query
@@ -169,7 +170,7 @@ def peak_last_7d_subquery(spark, sf):
 def peak_last_7d_cte(spark, sf):
     events = table(spark, sf, "events")
     return ask.strongest_last_days_sql(
-        events, EVENTS, as_of_sql="(SELECT max(ts) FROM {events})"
+        events, EVENTS, since_sql="(SELECT max(ts) - INTERVAL '7' DAY FROM {events})"
     )
 
 
@@ -254,7 +255,7 @@ def regions_above_threshold(spark, sf):
 @query("SELECT doc_id, lang FROM documents WHERE contains(text, ' of ') AND lang IS NOT NULL")
 def texts_with_region(spark, sf):
     documents = not_null(table(spark, sf, "documents"), "lang")
-    return contains_literal(documents, "text", " of ").select("doc_id", "lang")
+    return select_columns(contains_literal(documents, "text", " of "), ["doc_id", "lang"])
 
 
 # --- scans and orders -------------------------------------------------------------------------

@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": str(warehouse),
             "spark.driver.memory": "4g",
         },

@@ -129,8 +129,11 @@ def test_recent_rows_equal_brute_force(spark, rows, back):
     top = max((r[2] for r in rolling if r[2] is not None), default=None)
     want = Counter(r for r in rolling if r[2] is not None and r[2] == top)
     assert pairs(ask.strongest_last_days(df, as_of=now)) == want
-    literal = f"TIMESTAMP_NTZ'{now:%Y-%m-%d %H:%M:%S}'"
-    assert pairs(ask.strongest_last_days_sql(df, as_of_sql=literal)) == want
+    since = f"TIMESTAMP_NTZ'{now:%Y-%m-%d %H:%M:%S}' - INTERVAL '7' DAY"
+    assert pairs(ask.strongest_last_days_sql(df, since_sql=since)) == want
+    one_row = spark.range(1).select(F.lit(now).cast("timestamp").alias("t"))
+    assert pairs(last_days_rolling(df, as_of=one_row)) == Counter(rolling)
+    assert pairs(last_days_calendar(df, "time", as_of=one_row)) == Counter(calendar)
     peak = ask.highest_value_last_dates(df, as_of=now).first()[0]
     assert peak == max((r[2] for r in calendar if r[2] is not None), default=None)
 

@@ -126,6 +126,13 @@ def test_append_keeps_repeats_and_counts_rows(spark, table):
     assert content(read_table(spark, table)) == [(1, "a"), (1, "a"), (2, "b")]
 
 
+def test_append_drops_no_column(spark, table):
+    load_table(frame(spark, (1, "a")), table)
+    with pytest.raises(ValueError, match=r"\['w'\]"):
+        load_table(frame(spark, (1, "a")).withColumn("w", F.lit(1)), table)
+    assert content(read_table(spark, table)) == [(1, "a")]
+
+
 def test_truncate_replaces_content_and_schema(spark, table):
     load_table(frame(spark, (1, "a")), table, "truncate")
     load_table(frame(spark, (2, "b")), table, "truncate")

@@ -48,6 +48,12 @@ def test_peak_filter_reaches_the_scan(events):
     assert "Join" not in text
 
 
+@pytest.mark.parametrize("name", ["peak_last_7d_subquery", "peak_last_7d_cte"])
+def test_stored_week_start_reaches_the_scan(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,ScalarSubquery", text)
+
+
 def test_time_filters_reach_the_scan(events):
     day = dt.date(2024, 1, 20)
     assert "GreaterThanOrEqual(ts" in plan(last_days_calendar(events, "ts", 7, day))
