@@ -24,6 +24,38 @@ def _step(audit: AuditLog | None, name: str, info: str) -> AbstractContextManage
     return nullcontext() if audit is None else audit.step(name, info)
 
 
+def write_curated(
+    documents: DataFrame,
+    write: Callable[[DataFrame], None],
+    load: str,
+    quarantine: str | None = None,
+    ingested_at: dt.datetime | Column | None = None,
+) -> dict[str, int]:
+    """Curate documents, hand the rows to ``write``, and account for what was lost on the way.
+
+    Documents, broken documents, features and rows are counted while the rows are written. Only
+    when some document did not parse or some feature gave no row are these read again, into the
+    folder of this ``load`` below ``quarantine``.
+    """
+    seen = Observation()
+    counted = documents.observe(
+        seen,
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("broken_documents"),
+        F.coalesce(F.sum(F.array_size("features")), F.lit(0)).alias("features"),
+    )
+    rows, written = with_row_count(curate(counted, ingested_at=ingested_at))
+    write(rows)
+    counts = {**seen.get, **written.get}
+    if quarantine is not None and counts["broken_documents"]:
+        broken = split_documents(documents)[1]
+        broken.write.mode("overwrite").parquet(f"{quarantine}/documents/{load}")
+    if quarantine is not None and counts["features"] != counts["rows"]:
+        failed = flatten(documents)[1]
+        failed.write.mode("overwrite").parquet(f"{quarantine}/rows/{load}")
+    return counts
+
+
 def load_landed_day(
     spark: SparkSession,
     landing: str,
@@ -41,34 +73,24 @@ def load_landed_day(
     """Curate the landed documents of one day into ``silver`` and load that day into ``table``.
 
     The table is loaded from the written Parquet, so the required-column check is a scan of those
-    columns and a failed table load repeats no parsing. Documents, features and rows are counted
-    while the day is written and noted in the audit log. Only when some document did not parse or
-    some feature gave no row are these read again, into ``quarantine``.
+    columns and a failed table load repeats no parsing.
     """
-    documents = reader(spark, landing)
+    documents, folder = reader(spark, landing), dated(silver, day)
     with _step(audit, "curate_to_parquet", landing) as step:
         require_rows(curate(documents))
-        seen = Observation()
-        counted = documents.observe(
-            seen,
-            F.count(F.lit(1)).alias("documents"),
-            F.count_if(F.col(CORRUPT).isNotNull()).alias("broken_documents"),
-            F.coalesce(F.sum(F.array_size("features")), F.lit(0)).alias("features"),
+        counts = write_curated(
+            documents,
+            lambda rows: write_parquet_overwrite(rows, silver, day, refuse_empty=False),
+            folder.rsplit("/", 1)[1],
+            quarantine,
+            ingested_at,
         )
-        rows, written = with_row_count(curate(counted, ingested_at=ingested_at))
-        write_parquet_overwrite(rows, silver, day, refuse_empty=False)
-        counts = {**seen.get, **written.get}
         if step is not None:
             step.info = f"{landing} {counts}"
-        if quarantine is not None and counts["broken_documents"]:
-            broken = split_documents(documents)[1]
-            broken.write.mode("overwrite").parquet(dated(f"{quarantine}/documents", day))
-        if quarantine is not None and counts["features"] != counts["rows"]:
-            failed = flatten(documents)[1]
-            failed.write.mode("overwrite").parquet(dated(f"{quarantine}/rows", day))
     with _step(audit, "load_table", table) as step:
-        day_rows = spark.read.parquet(dated(silver, day))
-        loaded = load_table(day_rows, table, disposition, location, required)
+        loaded = load_table(
+            spark.read.parquet(folder), table, disposition, location, required
+        )
         if step is not None:
             step.info = f"{table} {loaded.rows} rows"
     return loaded

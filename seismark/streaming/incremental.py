@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seismark.plans.curate import curate
-from seismark.sinks.files import append_load
+from seismark.plans.loads import write_curated
+from seismark.sinks.files import LOAD_ID, append_load
 from seismark.sources.documents import read_landing_geojson
 
 
@@ -17,24 +17,30 @@ def incremental_append(
     target: str,
     checkpoint: str,
     reader: Callable[..., DataFrame] = read_landing_geojson,
-    transform: Callable[[DataFrame], DataFrame] = curate,
+    quarantine: str | None = None,
     name: str = "stream",
     max_files_per_batch: int = 1000,
 ) -> None:
-    """Take in every landed file not yet seen, then stop.
+    """Curate every landed file not yet seen, append its rows to ``target``, then stop.
 
     The checkpoint remembers which files belong to which batch, and a batch is written as the
     partition ``load_id=<name>-<batch>``. A batch that is repeated after a crash therefore
-    replaces its own rows. History loads written by ``append_load`` live beside it.
+    replaces its own rows. History loads written by ``append_load`` live beside it. Documents that
+    did not parse and features that gave no row go below ``quarantine``, by batch.
     """
     landed = reader(spark, landing, streaming=True, maxFilesPerTrigger=max_files_per_batch)
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        append_load(batch, target, f"{name}-{batch_id:08d}")
+    def publish(documents: DataFrame, batch_id: int) -> None:
+        load = f"{name}-{batch_id:08d}"
+        write_curated(
+            documents,
+            lambda rows: append_load(rows, target, load),
+            f"{LOAD_ID}={load}",
+            quarantine,
+        )
 
     query = (
-        transform(landed)
-        .writeStream.foreachBatch(publish)
+        landed.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -315,6 +315,18 @@ def test_a_batch_repeated_after_a_crash_adds_no_rows(spark, tmp_path, monkeypatc
     assert content(read_parquet(spark, target).select("mag")) == [(1.0,), (2.0,), (3.0,)]
 
 
+def test_incremental_run_quarantines_by_batch(spark, tmp_path):
+    landing, target, seen, bad = (str(tmp_path / n) for n in ("landing", "target", "seen", "bad"))
+    landed(tmp_path / "landing", 1.0, broken=2)
+    incremental_append(spark, landing, target, seen, reader=read_landing_text, quarantine=bad)
+    landed(tmp_path / "landing", 2.0)
+    incremental_append(spark, landing, target, seen, reader=read_landing_text, quarantine=bad)
+    assert content(read_parquet(spark, target).select("mag")) == [(1.0,), (2.0,)]
+    broken = read_parquet(spark, f"{bad}/documents")
+    assert content(broken) == [('{"features": [', False, "stream-00000000")] * 2
+    assert not (tmp_path / "bad" / "rows").exists()
+
+
 def test_incremental_run_with_whole_file_documents(spark, tmp_path):
     landing, target, seen = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
     landed(tmp_path / "landing", 1.0)
