@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 SECONDS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# The years 1 to 9999. Adding an epoch far outside would end the job on one bad row.
+EPOCH_MS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
+
 
 def epoch_ms_to_string(ms: Column, fmt: str = SECONDS_FORMAT) -> Column:
     """Whole-second text in the session time zone; milliseconds are cut toward zero."""
@@ -14,9 +17,18 @@ def epoch_ms_to_string(ms: Column, fmt: str = SECONDS_FORMAT) -> Column:
 
 
 def epoch_ms_to_timestamp(ms: Column) -> Column:
-    """UTC wall-clock timestamp with milliseconds, whatever the session time zone is."""
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.timestamp_add("MILLISECOND", ms.try_cast("bigint"), epoch)
+    """UTC wall-clock timestamp with milliseconds, whatever the session time zone is; null outside
+    the years 1 to 9999."""
+    return F.timestamp_add(
+        "MILLISECOND",
+        valid_epoch_ms(ms.try_cast("bigint")),
+        F.lit("1970-01-01").cast("timestamp_ntz"),
+    )
+
+
+def valid_epoch_ms(ms: Column) -> Column:
+    """The same number, or null when no timestamp can hold it."""
+    return F.when(ms.between(*EPOCH_MS_RANGE), ms)
 
 
 def epoch_ms_pair(first: Column, second: Column) -> tuple[Column, Column]:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seismark.functions.times import valid_epoch_ms
 from seismark.schema import COORDINATES, EVENT_FIELDS, FLAT_TYPES, PROPERTY_FIELDS, Field
 
 FAILED = "_failed"
@@ -59,37 +60,38 @@ def _typed_default(field: Field) -> Column:
     return F.lit(field.default).cast(FLAT_TYPES[field.kind])
 
 
+def _valid(typed: Column, kind: str) -> Column:
+    return valid_epoch_ms(typed) if kind == "epoch_ms" else typed
+
+
+def _converted(field: Field) -> Column:
+    return _valid(F.col(field.name).try_cast(FLAT_TYPES[field.kind]), field.kind)
+
+
 def flatten_coerce_default(properties: DataFrame, epoch_as_text: bool = False) -> DataFrame:
     """Cast every field to its declared type; missing or null becomes the declared default.
 
     Run ``split_convertible`` first when the values may not convert: here such a value takes the
     default too.
     """
-    return properties.select(
-        *[
-            _as_text(
-                F.coalesce(F.col(f.name).try_cast(FLAT_TYPES[f.kind]), _typed_default(f)),
-                f,
-                epoch_as_text,
-            ).alias(f.name)
-            for f in EVENT_FIELDS
-        ]
-    )
 
+    def flat(field: Field) -> Column:
+        value = F.coalesce(_converted(field), _typed_default(field))
+        as_text = epoch_as_text and field.kind == "epoch_ms"
+        return (value.cast("string") if as_text else value).alias(field.name)
 
-def _as_text(value: Column, field: Field, epoch_as_text: bool) -> Column:
-    return value.cast("string") if epoch_as_text and field.kind == "epoch_ms" else value
+    return properties.select(*[flat(f) for f in EVENT_FIELDS])
 
 
 def split_convertible(properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(convertible, failed): a row fails when a present value does not fit its declared type."""
     sources = {f.name: properties.schema[f.name].dataType for f in EVENT_FIELDS}
     lost = [
-        F.col(f.name).isNotNull() & F.col(f.name).try_cast(FLAT_TYPES[f.kind]).isNull()
+        F.col(f.name).isNotNull() & _converted(f).isNull()
         for f in EVENT_FIELDS
-        if sources[f.name] != FLAT_TYPES[f.kind] and f.kind != "string"
+        if f.kind == "epoch_ms" or (f.kind != "string" and sources[f.name] != FLAT_TYPES[f.kind])
     ]
-    failed = reduce(lambda a, b: a | b, lost, F.lit(False))
+    failed = reduce(lambda a, b: a | b, lost)
     return properties.filter(~failed), properties.filter(failed)
 
 
@@ -105,6 +107,7 @@ def flatten_missing_only(features: DataFrame, feature: str = "feature") -> DataF
     coordinates = F.try_variant_get(geometry, "$.coordinates", "variant")
     columns = []
     failures = [_explicit_null(geometry), _explicit_null(coordinates)]
+    leaves: dict[str, list[Column]] = {}
     for f in EVENT_FIELDS:
         if f.name in COORDINATES:
             leaf = F.try_variant_get(geometry, f"$.coordinates[{COORDINATES[f.name]}]", "variant")
@@ -115,11 +118,25 @@ def flatten_missing_only(features: DataFrame, feature: str = "feature") -> DataF
             absent = leaf.isNull()
             if f.kind == "epoch_ms":
                 failures.append(absent)
-        value = F.try_variant_get(leaf, "$", FLAT_TYPES[f.kind].simpleString())
-        if f.kind != "string":
-            failures.append(leaf.isNotNull() & value.isNull() & ~_explicit_null(leaf))
-        columns.append(F.when(absent, _typed_default(f)).otherwise(value).alias(f.name))
-    return features.select(*columns, reduce(lambda a, b: a | b, failures).alias(FAILED))
+        leaves.setdefault(f.kind, []).append(leaf)
+        default = F.when(absent, _typed_default(f))
+        columns.append(F.coalesce(_leaf_value(leaf, f.kind), default).alias(f.name))
+    # One test per kind over an array, not one per field: written out, the generated method would
+    # be too long for the JVM to compile.
+    for kind in ("float", "int", "epoch_ms"):
+        failures.append(F.exists(F.array(*leaves[kind]), _loses_its_value(kind)))
+    failed = F.coalesce(reduce(lambda a, b: a | b, failures), F.lit(False))
+    return features.select(*columns, failed.alias(FAILED))
+
+
+def _leaf_value(leaf: Column, kind: str) -> Column:
+    return _valid(F.try_variant_get(leaf, "$", FLAT_TYPES[kind].simpleString()), kind)
+
+
+def _loses_its_value(kind: str) -> Callable[[Column], Column]:
+    return lambda leaf: (
+        leaf.isNotNull() & ~F.is_variant_null(leaf) & _leaf_value(leaf, kind).isNull()
+    )
 
 
 def _explicit_null(leaf: Column) -> Column:

@@ -19,7 +19,14 @@ from seismark.functions import (
 )
 from seismark.operators.project import extract_properties, flatten_coerce_default
 from seismark.plans.curate import curate, flatten
-from seismark.schema import CORRUPT, CURATED_SCHEMA, FLAT_SCHEMA, VARIANT_DOCUMENT, VARIANT_FEATURE
+from seismark.schema import (
+    CORRUPT,
+    CURATED_SCHEMA,
+    FLAT_SCHEMA,
+    RAW_DOCUMENT,
+    VARIANT_DOCUMENT,
+    VARIANT_FEATURE,
+)
 from seismark.sources.documents import (
     explode_features,
     read_landing_geojson,
@@ -79,7 +86,8 @@ def test_epoch_to_timestamp_ignores_the_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        df = spark.createDataFrame([("1730505600999",), ("-1500",), ("x",)], "ms string")
+        texts = ["1730505600999", "-1500", "x", str(10**18)]
+        df = spark.createDataFrame([(t,) for t in texts], "ms string")
         rows = df.select(epoch_ms_to_timestamp(F.col("ms")).alias("t")).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
@@ -87,6 +95,7 @@ def test_epoch_to_timestamp_ignores_the_session_zone(spark, zone):
         dt.datetime(2024, 11, 2, 0, 0, 0, 999000),
         dt.datetime(1969, 12, 31, 23, 59, 58, 500000),
         None,
+        None,
     ]
 
 
@@ -151,10 +160,17 @@ def test_strict_extraction_fails_on_missing_geometry(spark, tmp_path):
 
 
 def test_values_that_do_not_fit_are_failed_rows(spark, tmp_path):
-    path = land(tmp_path / "in", doc(feature(sig=1e12, ids="big"), feature(sig=7, ids="ok")))
-    good, failed = flatten(read_landing_geojson(spark, path))
-    assert [(r.ids, r.sig) for r in good.collect()] == [("ok", 7)]
-    assert [r.ids for r in failed.collect()] == ["big"]
+    far = 9_000_000_000_000_000_000
+    path = land(
+        tmp_path / "in",
+        doc(feature(sig=1e12, ids="big"), feature(sig=7, ids="ok"), feature(time=far, ids="far")),
+    )
+    for schema in (RAW_DOCUMENT, VARIANT_DOCUMENT):
+        documents = read_landing_geojson(spark, path, schema)
+        good, failed = flatten(documents)
+        assert [(r.ids, r.sig) for r in good.collect()] == [("ok", 7)]
+        assert sorted(r.ids for r in failed.collect()) == ["big", "far"]
+        assert curate(documents).count() == 1
 
 
 def test_preserve_policy(spark, tmp_path):
@@ -240,6 +256,11 @@ def test_split_reader_equals_whole_documents(spark, tmp_path):
         assert got.count() == 305
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
         assert pieces.filter(F.col(CORRUPT).isNotNull()).isEmpty()
+        got = curate(read_landing_split(spark, path, feature=VARIANT_FEATURE), ingested_at=NOW)
+        whole = read_landing_geojson(spark, path, VARIANT_DOCUMENT)
+        want = curate(whole, ingested_at=NOW)
+        assert got.count() == 305
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 

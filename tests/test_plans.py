@@ -14,6 +14,7 @@ from seismark.operators.filters import last_days_calendar, last_days_rolling, pe
 from seismark.operators.sorting import top_k_by_key
 from seismark.plans.curate import curate
 from seismark.plans.questions import latest
+from seismark.schema import RAW_DOCUMENT, VARIANT_DOCUMENT
 from seismark.sources.documents import read_landing_text
 from seismark.workload import QUERIES
 
@@ -81,6 +82,15 @@ def test_curation_is_one_pass_without_a_shuffle(spark, tmp_path):
     assert text.count("from_json(") == 1
 
 
+@pytest.mark.parametrize("schema", [RAW_DOCUMENT, VARIANT_DOCUMENT])
+def test_generated_methods_stay_short_enough_to_compile(spark, tmp_path, capsys, schema):
+    """The JVM does not compile methods above 8000 bytes."""
+    (tmp_path / "d.json").write_text('{"features": []}')
+    curate(read_landing_text(spark, str(tmp_path), schema)).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_a_hot_key_collapses_before_the_shuffle(spark):
     """A third of all rows under one repeated key: each task sends one row of it on."""
     rows = spark.range(0, 300_000, 1, 16)
