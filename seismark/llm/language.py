@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from seismark.llm._spark import bounded_sample, remainder
 from seismark.llm._text import LOWER, slices, utf8
 
-ROWS_PER_LANGUAGE = 500
+ROWS_PER_LANGUAGE = 300
 SAMPLE_CHARS = 3000
 ORDERS = (1, 2, 3, 4)
-BITS = 13
+BITS = 12
 UNDETERMINED = "und"
 
 # Language families by ISO 639-1 code.
@@ -114,7 +114,7 @@ class Model:
         return inside.argmax(axis=1), score * inside.max(axis=1)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, epochs: int = 60, penalty: float = 1e-4, seed: int = 1) -> np.ndarray:
+def linear_svm(x: np.ndarray, y: np.ndarray, epochs: int = 40, penalty: float = 1e-4, seed: int = 1) -> np.ndarray:
     """Weights (last one: bias) of a squared-hinge linear SVM; y is +1 or -1, classes weigh alike."""
     rng, n = np.random.default_rng(seed), len(y)
     weight = np.where(y > 0, n / (2 * max(1, (y > 0).sum())), n / (2 * max(1, (y < 0).sum()))).astype(np.float32)

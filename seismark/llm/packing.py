@@ -13,7 +13,6 @@ each; an empty table gives no rows; a null id is carried through; other columns
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,18 +23,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismark.llm._text import mix, ranges, slices
+from seismark.llm._text import LOWER, byte_class, mix, ranges, slices, utf8, word_hashes, word_spans
 
 WINDOW = 2048
 END_ID = 1
 #: Text of one bucket; about eight million tokens, four thousand windows.
 BUCKET_BYTES = 32 << 20
 #: Chunks of text whose ids a Python worker keeps; the table starts anew when it is full.
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 1_000_000
 
-#: A text without these characters is normalised by lower() and cut at white space exactly as the
-#: tokenizer does it (no composition, no odd spaces, no special tokens); others go to it whole.
-UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa0-įı-ſ]|<\\|")
+_CHUNKS_A_LINE = 2000
+
+#: Bytes below U+0180 but for most controls: there text is normalised by lower-casing and cut at
+#: blanks exactly as the tokenizer does it. A row with another byte, an odd space, a dotted capital
+#: I or the opening of a special token goes to the tokenizer whole.
+_ODD = byte_class(lambda b: b < 32 and b not in b"\t\n\r" or b == 127 or b >= 0xC6)
+_MARK = byte_class(lambda b: b in b".,;:!?")
+_CHUNK = byte_class(lambda b: b not in b" \t\n\r")
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -95,51 +99,90 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return window, offset
 
 
-class Chunks(dict):
-    """Ids of white-space separated chunks of text, encoded once."""
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z and the capitals of the Latin-1 block lower-cased."""
+    capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    data = LOWER[data]
+    data[1:][capital] += 32
+    return data
+
+
+def unusual(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Flags of the rows that the tokenizer must see whole (see ``_ODD``)."""
+    odd = _ODD[data]
+    pair, after = data[:-1], data[1:]
+    odd[:-1] |= (pair == 0xC2) & (after <= 0xA0) | (pair == 0xC4) & (after == 0xB0) | (pair == 60) & (after == 124)
+    return np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) > 0
+
+
+def chunk_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of the chunks: split at blanks, and before a last mark that follows a letter, which the
+    tokenizer cuts there too. So a word is one chunk whether or not a comma follows."""
+    starts, ends, _ = word_spans(data, offsets, _CHUNK)
+    long = np.flatnonzero(ends - starts >= 3)
+    last, before, lead = (data[ends[long] - i] for i in (1, 2, 3))
+    letter = (before >= 97) & (before <= 122) | (lead == 0xC3) & (before >= 0xA0) & (before != 0xB7)
+    cut = long[_MARK[last] & letter]
+    marks = ends[cut] - 1
+    ends = ends.copy()
+    ends[cut] = marks
+    place = np.searchsorted(starts, marks)
+    starts, ends = np.insert(starts, place, marks), np.insert(ends, place, marks + 1)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+class Chunks:
+    """Ids of the white-space separated chunks of texts; each distinct chunk is encoded once."""
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
         self.forget()
 
     def forget(self) -> None:
-        self.clear()
-        self.new, self.ids, self.starts = [], np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def add(self, text: str) -> int:
-        self.new.append(text)
-        return len(self.starts) + len(self.new) - 2
-
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = at = self.add(chunk)
-        return at
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts end to end, and the offsets of the texts."""
-        if len(self.starts) > CACHED_CHUNKS:
+        self.known: dict[int, int] = {}
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Encode chunks, many to a string; the offsets of the tokens tell them apart."""
+        lines, length = [], ends - starts
+        for at in range(0, len(starts), _CHUNKS_A_LINE):
+            size = length[at : at + _CHUNKS_A_LINE]
+            line = np.full(int((size + 1).sum()), 32, np.uint8)
+            line[ranges(np.cumsum(size + 1) - size - 1, size)] = data[ranges(starts[at : at + _CHUNKS_A_LINE], size)]
+            lines.append(line.tobytes().decode())
+        ids, sizes = [self.ids], []
+        for line, coded in zip(lines, self.tokenizer.encode_batch(lines, add_special_tokens=False), strict=True):
+            code = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+            chunk = np.cumsum(code == 32)[np.array([o[0] for o in coded.offsets], np.int64)] if len(coded) else []
+            sizes.append(np.bincount(np.asarray(chunk, np.int64), minlength=int((code == 32).sum())))
+            ids.append(np.array(coded.ids, np.uint32))
+        self.ids = np.concatenate(ids)
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of every row, and which rows are unusual: their ids must be taken whole instead."""
+        if len(self.known) > CACHED_CHUNKS:
             self.forget()
-        index, counts = [], []
-        for text in texts:
-            if UNUSUAL.search(text):
-                at = [self.add(text)]
-            else:
-                at = list(map(self.__getitem__, text.lower().split()))
-            index.append(np.array(at, np.int64))
-            counts.append(len(at))
-        if self.new:
-            coded = self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False)
-            found = [x.ids for x in coded]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.new = []
-        index = np.concatenate(index) if index else np.empty(0, np.int64)
-        sizes = self.starts[index + 1] - self.starts[index]
-        ids = self.ids[ranges(self.starts[index], sizes)]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        data, whole = lowered(data), unusual(data, offsets)
+        starts, ends, at = chunk_spans(data, offsets)
+        hashes = word_hashes(data, starts, ends)
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        number = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        # chunks that only unusual rows have are not encoded
+        usual = np.bincount(inverse[~np.repeat(whole, np.diff(at))], minlength=len(distinct)) > 0
+        new = np.flatnonzero((number < 0) & usual)
+        if len(new):
+            number[new] = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(new))
+            self.known.update(zip(distinct[new].tolist(), number[new].tolist(), strict=True))
+            self.learn(data, starts[first[new]], ends[first[new]])
+        index = number[inverse]
+        sizes = np.where(index < 0, 0, self.starts[index + 1] - self.starts[index])
+        ids = self.ids[ranges(np.where(index < 0, 0, self.starts[index]), sizes)]
+        cut = np.concatenate([[0], np.cumsum(sizes)])[at]
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], whole
+
+    def encode_whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _chunks: dict[str, Chunks] = {}
@@ -157,11 +200,13 @@ def chunks_of(path: str) -> Chunks:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int, buckets: int):
     coder, number = chunks_of(path), TaskContext.get().partitionId() << 40
     for batch in slices(batches, "text"):
-        texts = batch.column("text").fill_null("").to_pylist()
-        ids, at = coder.encode(texts)
+        data, offsets = utf8(batch.column("text"))
+        coded, whole = coder.encode(data, offsets)
         rows, start, length, crc, total = [], [], [], [], []
-        for row in range(len(texts)):
-            own = np.append(ids[at[row] : at[row + 1]], np.uint32(end_id)).astype("<u4")
+        for row, own in enumerate(coded):
+            if whole[row]:
+                own = coder.encode_whole(data[offsets[row] : offsets[row + 1]].tobytes().decode())
+            own = np.append(own, np.uint32(end_id)).astype("<u4")
             for begin in range(0, len(own), window):
                 piece = own[begin : begin + window]
                 rows.append(row)

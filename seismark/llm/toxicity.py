@@ -3,7 +3,7 @@
 The network reads a window of words. A word enters by a hashed word embedding and by the hashed
 byte n-grams inside it, each with the log-odds of its class in the training rows; both directions
 of a gated recurrent unit run over the window, attention pools their states, and a logistic output
-scores it. Windows overlap by half and cover the whole text; a document's score is that of its
+scores it. Windows overlap by 24 words and cover the whole text; a document's score is that of its
 highest window. Everything is trained in numpy on a bounded sample of labelled rows
 (``ROWS_PER_CLASS`` of each label, texts up to ``SAMPLE_BYTES``): labels belong to whole documents,
 so in every epoch a toxic document teaches by its highest windows, a clean one too.
@@ -27,7 +27,7 @@ from seismark.llm._text import LOWER, WORD_OR_HIGH, mix, ranges, slices, utf8, w
 
 ROWS_PER_CLASS = 1200
 SAMPLE_BYTES = 64 << 10
-WINDOW, STRIDE, HIDDEN, EMBEDDED = 48, 24, 8, 4
+WINDOW, STRIDE, HIDDEN, EMBEDDED = 64, 40, 8, 4
 BITS = 16
 GRAM_ORDERS = (3, 4, 5)
 EPOCHS, BATCH = 6, 128
@@ -96,19 +96,20 @@ class Network:
 
     def run(self, gates: dict[str, np.ndarray], index: np.ndarray, length: np.ndarray, tape: dict | None = None) -> np.ndarray:
         """Logits of windows. gates: input part of the gates of each word; index: (windows, steps)."""
-        n, steps = index.shape
+        (n, steps), shortest = index.shape, length.min(initial=WINDOW)
         states = np.zeros((steps, n, 2 * HIDDEN), np.float32)
         for half, d in enumerate("fb"):
             state, u = np.zeros((n, HIDDEN), np.float32), self.p[f"U{d}"]
             for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-                live = (t < length)[:, None]
+                live = None if t < shortest else (t < length)[:, None]
                 x, r = gates[d][index[:, t]], state @ u
                 zr = sigmoid(x[:, : 2 * HIDDEN] + r[:, : 2 * HIDDEN])
                 z, k = zr[:, :HIDDEN], zr[:, HIDDEN:]
                 new = np.tanh(x[:, 2 * HIDDEN :] + k * r[:, 2 * HIDDEN :])
                 if tape is not None:
                     tape[d, t] = state, z, k, new, r[:, 2 * HIDDEN :], live
-                state = np.where(live, z * state + (1 - z) * new, state)
+                after = new + z * (state - new)
+                state = after if live is None else np.where(live, after, state)
                 states[t, :, half * HIDDEN : (half + 1) * HIDDEN] = state
         hidden = np.tanh(states @ self.p["A"])
         score = np.where((np.arange(steps)[:, None] < length)[..., None], (hidden @ self.p["v"])[..., None], -1e9)[..., 0]
@@ -145,7 +146,7 @@ class Network:
             for t in range(steps - 1, -1, -1) if d == "f" else range(steps):
                 state, z, k, new, r, live = tape[d, t]
                 carry = carry + dstates[t, :, half * HIDDEN : (half + 1) * HIDDEN]
-                now = np.where(live, carry, 0)
+                now = carry if live is None else np.where(live, carry, 0)
                 dnew = now * (1 - z) * (1 - new**2)
                 dgate = np.concatenate([now * (state - new) * z * (1 - z), dnew * r * k * (1 - k), dnew], axis=1)
                 drec = np.concatenate([dgate[:, : 2 * HIDDEN], dnew * k], axis=1)
@@ -153,7 +154,8 @@ class Network:
                 g[f"b{d}"] += dgate.sum(axis=0)
                 g[f"W{d}"] += x[index[:, t]].T @ dgate
                 np.add.at(dx, index[:, t], dgate @ self.p[f"W{d}"].T)
-                carry = np.where(live, now * z + drec @ u.T, carry)
+                back = now * z + drec @ u.T
+                carry = back if live is None else np.where(live, back, carry)
         return g, dx
 
 
@@ -191,8 +193,9 @@ def score_rows(net: Network | None, data: np.ndarray, offsets: np.ndarray, block
     text = Text(data, offsets)
     row, start, length = text.windows()
     gates = net.gates(net.inputs(text.bucket, text.gram, text.gram_at))
+    order = np.argsort(-length, kind="stable")  # windows of one length need no masks
     for at in range(0, len(row), block):
-        part = slice(at, at + block)
+        part = order[at : at + block]
         logit = net.run(gates, text.index(start[part], length[part]), length[part])
         np.maximum.at(result, row[part], logit)
     return np.where(np.isfinite(result), sigmoid(np.clip(net.slope * result + net.shift, -30, 30)), 0.0)
