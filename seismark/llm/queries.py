@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismark.llm import decontamination, language, lm_score, packing, simhash, topk, toxicity
+from seismark.llm import decontamination, language, lm_score, packing, passages, simhash, substring, topk, toxicity
 from seismark.workload.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query()
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
@@ -55,6 +60,11 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+@query()
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_passages(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
