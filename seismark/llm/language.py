@@ -29,6 +29,8 @@ SAMPLE_CHARS = 3000
 ORDERS = (1, 2, 3, 4)
 BITS = 12
 UNDETERMINED = "und"
+#: Confidence below which a document is rejected.
+MIN_SCORE = 0.2
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -229,3 +231,11 @@ def identify(documents: DataFrame) -> DataFrame:
     model = learn(training_rows(documents))
     scored = predict_languages(documents, model, ["doc_id"])
     return scored.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents in a learned language, with all their columns. Texts without a letter go, and
+    those whose language is told with less than ``min_score``."""
+    model = learn(training_rows(documents))
+    scored = predict_languages(documents.withColumn("_whole", F.col("text")), model, documents.columns, "_whole")
+    return scored.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*documents.columns)

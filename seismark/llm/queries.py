@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismark.llm import decontamination, language, lm_score, packing, passages, simhash, substring, topk, toxicity
+from seismark.llm import decontamination, language, lines, lm_score, packing, passages, simhash, substring, topk, toxicity
 from seismark.workload.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+@query()
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_passages(table(spark, sf_dir, "documents"))

@@ -197,3 +197,10 @@ def simhash_groups(documents: DataFrame, max_distance: int = MAX_DISTANCE, id_co
     return coded.join(groups, "code").select(
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one_of_each_group(documents: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """The documents whose id names their group, one row each; rows without an id are left out."""
+    groups = simhash_groups(documents, max_distance)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
