@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seismark.llm import decontamination, language, lines, lm_score, packing, passages, simhash, substring, topk, toxicity
+from seismark.llm._ship import ship_package
 from seismark.workload.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +23,12 @@ TOKENIZER = "word_bpe_49k.json"
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        @wraps(run)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = shipped
         if sql is not None:
             ORACLE[run.__name__] = sql
         return run

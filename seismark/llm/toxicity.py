@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from seismark.llm._spark import bounded_sample, remainder
 from seismark.llm._text import LOWER, WORD_OR_HIGH, mix, ranges, slices, utf8, word_hashes, word_spans
 
-ROWS_PER_CLASS = 1200
+ROWS_PER_CLASS = 800
 SAMPLE_BYTES = 64 << 10
 WINDOW, STRIDE, HIDDEN, EMBEDDED = 64, 40, 8, 4
 BITS = 16
@@ -184,7 +184,7 @@ class Text:
         return self.word[place]
 
 
-def score_rows(net: Network | None, data: np.ndarray, offsets: np.ndarray, block: int = 8192) -> np.ndarray:
+def score_rows(net: Network | None, data: np.ndarray, offsets: np.ndarray, block: int = 4096) -> np.ndarray:
     """Score (0 to 1) of every row: its highest window."""
     n = len(offsets) - 1
     result = np.full(n, -np.inf)
@@ -201,12 +201,15 @@ def score_rows(net: Network | None, data: np.ndarray, offsets: np.ndarray, block
     return np.where(np.isfinite(result), sigmoid(np.clip(net.slope * result + net.shift, -30, 30)), 0.0)
 
 
-def _odds(bucket: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Smoothed log-odds of each bucket by the number of toxic and clean rows that have it."""
-    pair = np.unique(row * (1 << BITS) + bucket)
-    row, bucket = pair >> BITS, pair & ((1 << BITS) - 1)
-    with_toxic = np.bincount(bucket[toxic[row]], minlength=1 << BITS)
-    with_clean = np.bincount(bucket[~toxic[row]], minlength=1 << BITS)
+def _odds(blocks: Iterator[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
+    """Smoothed log-odds of each bucket by the number of toxic and clean rows that have it.
+    ``blocks`` gives rows and buckets; all of a row are in one block."""
+    with_toxic, with_clean = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for row, bucket in blocks:
+        pair = np.unique(row << BITS | bucket)
+        row, bucket = pair >> BITS, pair & ((1 << BITS) - 1)
+        with_toxic += np.bincount(bucket[toxic[row]], minlength=1 << BITS)
+        with_clean += np.bincount(bucket[~toxic[row]], minlength=1 << BITS)
     share = (with_toxic + 0.5) / (toxic.sum() + 1), (with_clean + 0.5) / ((~toxic).sum() + 1)
     seen = np.minimum(1, (with_toxic + with_clean) / 6)  # a bucket of few rows says little
     return np.clip(np.log(share[0] / share[1]), -3, 4) * seen
@@ -219,15 +222,25 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> Network | None:
         return None
     rng = np.random.default_rng(seed)
     text = Text(*utf8(pa.array([t for t, _ in rows], pa.string())))
-    row_of_word = np.repeat(np.arange(len(rows)), np.diff(text.at))
     gram_count = np.diff(text.gram_at)
-    gram = text.gram[ranges(text.gram_at[text.word], gram_count[text.word])]
-    gram_row = np.repeat(row_of_word, gram_count[text.word])
-    net = Network(_odds(text.bucket[text.word], row_of_word, toxic), _odds(gram, gram_row, toxic))
+
+    def blocks(grams: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(rows), 64):
+            stop = min(at + 64, len(rows))
+            word = text.word[text.at[at] : text.at[stop]]
+            row = np.repeat(np.arange(at, stop), np.diff(text.at[at : stop + 1]))
+            if grams:
+                pair = np.unique(row * len(text.bucket) + word)  # each word of a row once
+                row, word = pair // len(text.bucket), pair % len(text.bucket)
+                yield np.repeat(row, gram_count[word]), text.gram[ranges(text.gram_at[word], gram_count[word])]
+            else:
+                yield row, text.bucket[word]
+
+    net = Network(_odds(blocks(False), toxic), _odds(blocks(True), toxic))
     row, start, length = text.windows()
     x = net.inputs(text.bucket, text.gram, text.gram_at)
     strength = x[:, 0] + x[:, 1]
-    index = text.index(start, length)
+    index = text.index(start, length).astype(np.int32)
     live = np.arange(WINDOW) < length[:, None]
     logit = np.where(live, strength[index], -9).max(axis=1)
     state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
@@ -258,7 +271,7 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> Network | None:
             own = np.repeat(dx[:, 3 + EMBEDDED :] / gram_count[words][:, None], gram_count[words], axis=0)
             np.subtract.at(net.tables["gram"], grams, 0.5 * own)
         gates = net.gates(net.inputs(text.bucket, text.gram, text.gram_at))
-        logit = np.concatenate([net.run(gates, index[at : at + 8192], length[at : at + 8192]) for at in range(0, len(row), 8192)])
+        logit = np.concatenate([net.run(gates, index[at : at + 2048], length[at : at + 2048]) for at in range(0, len(row), 2048)])
     highest = np.full(len(rows), -np.inf)
     np.maximum.at(highest, row, logit)
     known = np.isfinite(highest)
