@@ -83,8 +83,8 @@ class WindowSet:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        data, starts, ends, at = words_of(*utf8(batch.column("text")))
+    for batch in slices(batches, "_text"):
+        data, starts, ends, at = words_of(*utf8(batch.column("_text")))
         n = np.diff(at)
         hit, items = [[] for _ in range(len(n))], [set() for _ in range(len(n))]
         for word, k, owners in windows.hits(data, starts, ends, at[:-1], at[1:]):
@@ -100,12 +100,12 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet) -> Iterator[pa.
                 words.append([])
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(x) for x in batch.schema.names if x != "text"),
+                *(batch.column(x) for x in batch.schema.names if x != "_text"),
                 pa.array(n),
                 pa.array(words, pa.list_(pa.int64())),
                 pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
             ],
-            names=[*(x for x in batch.schema.names if x != "text"), "n_words", "words", "items"],
+            names=[*(x for x in batch.schema.names if x != "_text"), "n_words", "words", "items"],
         )
 
 
@@ -138,7 +138,7 @@ def find_hits(
 
     With a benchmark of more than one part, ``keep`` must identify a document up to equal rows.
     """
-    source = documents.select(*keep, F.col(text_column).alias("text"))
+    source = documents.select(*keep, F.col(text_column).alias("_text"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema) + ", " + SPANS
     found = []
     for part in benchmark_parts(benchmark, benchmark_id, benchmark_text, broadcast_bytes):
@@ -188,6 +188,5 @@ def contamination(spark: SparkSession, documents: DataFrame, benchmark: DataFram
 def remove_contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit word, with all their columns."""
     keep = documents.columns
-    source = documents.withColumn("_scanned", F.col("text"))
-    hits = find_hits(spark, source, benchmark, keep, text_column="_scanned")
+    hits = find_hits(spark, documents, benchmark, keep)
     return hits.where(F.size("words") == 0).select(*keep)
