@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seismark.functions.times import valid_epoch_ms
 from seismark.schema import COORDINATES, EVENT_FIELDS, FLAT_TYPES, PROPERTY_FIELDS, Field
@@ -64,7 +65,30 @@ def _valid(typed: Column, kind: str) -> Column:
     return valid_epoch_ms(typed) if kind == "epoch_ms" else typed
 
 
-def _converted(field: Field) -> Column:
+def _from_text(value: Column, kind: str) -> Column:
+    """A leaf read as text in its declared type, null if it does not convert. A number may be
+    written as text, a count or a time with decimals, and a flag counts as one or zero."""
+    if kind == "string":
+        return value
+    number = value.try_cast("double")
+    if kind == "float":
+        return F.coalesce(number, _flag(value).cast("double"))
+    if kind == "int":
+        return F.coalesce(number.try_cast("int"), _flag(value))
+    return _valid(F.coalesce(value.try_cast("long"), number.try_cast("long")), kind)
+
+
+def _text_does_not_convert(kind: str) -> Callable[[Column], Column]:
+    return lambda value: value.isNotNull() & _from_text(value, kind).isNull()
+
+
+def _flag(value: Column) -> Column:
+    return F.when(value == "true", 1).when(value == "false", 0)
+
+
+def _converted(field: Field, source: T.DataType) -> Column:
+    if isinstance(source, T.StringType):
+        return _from_text(F.col(field.name), field.kind)
     return _valid(F.col(field.name).try_cast(FLAT_TYPES[field.kind]), field.kind)
 
 
@@ -75,8 +99,10 @@ def flatten_coerce_default(properties: DataFrame, epoch_as_text: bool = False) -
     default too.
     """
 
+    sources = {f.name: properties.schema[f.name].dataType for f in EVENT_FIELDS}
+
     def flat(field: Field) -> Column:
-        value = F.coalesce(_converted(field), _typed_default(field))
+        value = F.coalesce(_converted(field, sources[field.name]), _typed_default(field))
         as_text = epoch_as_text and field.kind == "epoch_ms"
         return (value.cast("string") if as_text else value).alias(field.name)
 
@@ -86,11 +112,17 @@ def flatten_coerce_default(properties: DataFrame, epoch_as_text: bool = False) -
 def split_convertible(properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(convertible, failed): a row fails when a present value does not fit its declared type."""
     sources = {f.name: properties.schema[f.name].dataType for f in EVENT_FIELDS}
-    lost = [
-        F.col(f.name).isNotNull() & _converted(f).isNull()
-        for f in EVENT_FIELDS
-        if f.kind == "epoch_ms" or (f.kind != "string" and sources[f.name] != FLAT_TYPES[f.kind])
-    ]
+    lost, texts = [], {}
+    for f in EVENT_FIELDS:
+        if f.kind == "string":
+            continue
+        if isinstance(sources[f.name], T.StringType):
+            texts.setdefault(f.kind, []).append(F.col(f.name))
+        elif f.kind == "epoch_ms" or sources[f.name] != FLAT_TYPES[f.kind]:
+            lost.append(F.col(f.name).isNotNull() & _converted(f, sources[f.name]).isNull())
+    # one test per kind over an array: written out per field the method would be too long to compile
+    for kind, leaves in texts.items():
+        lost.append(F.exists(F.array(*leaves), _text_does_not_convert(kind)))
     failed = reduce(lambda a, b: a | b, lost)
     return properties.filter(~failed), properties.filter(failed)
 

@@ -58,20 +58,19 @@ FLAT_TYPES = {
     "epoch_ms": T.LongType(),
 }
 
-# JSON counts are read as double: an int field would reject 3.7 and flag the whole document.
-_RAW_TYPES = {**FLAT_TYPES, "int": T.DoubleType()}
-
 CORRUPT = "_corrupt_record"
 
+# Leaves are read as text, whatever their JSON type: the conversion decides what fits a column, and
+# a document is broken only if it does not parse.
 RAW_FEATURE = T.StructType(
     [
         T.StructField(
             "properties",
-            T.StructType([T.StructField(f.name, _RAW_TYPES[f.kind]) for f in PROPERTY_FIELDS]),
+            T.StructType([T.StructField(f.name, T.StringType()) for f in PROPERTY_FIELDS]),
         ),
         T.StructField(
             "geometry",
-            T.StructType([T.StructField("coordinates", T.ArrayType(T.DoubleType()))]),
+            T.StructType([T.StructField("coordinates", T.ArrayType(T.StringType()))]),
         ),
     ]
 )

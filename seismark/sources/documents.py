@@ -118,7 +118,9 @@ def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable, quarantined). A document is quarantined when any of it did not parse; what
     did parse of it stays among the readable ones, as ``partly_read`` tells."""
     readable = documents.filter(F.col("features").isNotNull())
-    broken = documents.filter(F.col(CORRUPT).isNotNull()).select(
+    # Spark refuses a query of the corrupt column alone, so the test names the list as well.
+    with_list = F.coalesce(F.size("features") >= -1, F.lit(True))
+    broken = documents.filter(F.col(CORRUPT).isNotNull() & with_list).select(
         F.col(CORRUPT).alias("document"), F.col("features").isNotNull().alias("partly_read")
     )
     return readable, broken

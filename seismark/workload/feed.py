@@ -76,6 +76,24 @@ def feed_documents(events: DataFrame) -> DataFrame:
     )
 
 
+def mistyped_documents(events: DataFrame) -> DataFrame:
+    """One document per event whose values come as other JSON types; of three magnitudes one is a
+    number, one is text that holds a number, and one does not convert."""
+    value, kind = F.col("value").cast("string"), F.col("event_id") % 3
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    millis = F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).cast("string")
+    mag = F.when(kind == 0, value).when(kind == 1, F.concat(F.lit('"'), value, F.lit('"'))).otherwise('"unknown"')
+    time = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('"'), millis, F.lit('"'))).otherwise(F.concat(millis, F.lit(".0")))
+    number = F.col("event_id").cast("string")
+    return events.select(
+        F.concat(
+            F.lit('{"features": [{"type": "Feature", "properties": {"mag": '), mag, F.lit(', "time": '), time,
+            F.lit(', "tsunami": true, "felt": "7", "ids": "'), number,
+            F.lit('"}, "geometry": {"coordinates": ["'), value, F.lit('", 2, 3.5]}}]}'),
+        ).alias("document")
+    )
+
+
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 _PLACE = (
     "CASE WHEN event_type = 'view' THEN 'view region' "

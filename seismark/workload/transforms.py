@@ -28,7 +28,7 @@ from seismark.sources.documents import (
     read_landing_split,
     read_landing_text,
 )
-from seismark.workload.feed import curated_sql, feed_documents
+from seismark.workload.feed import curated_sql, feed_documents, mistyped_documents
 from seismark.workload.registry import query, table
 
 _BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
@@ -154,6 +154,24 @@ def geojson_split_curated(spark, sf):
     return curate(read_landing_split(spark, landed)).drop("ingestion_dt")
 
 
+@query(
+    "SELECT value::DOUBLE AS mag, date_trunc('millisecond', ts) AS \"time\", 1::INTEGER AS tsunami, "
+    "7::INTEGER AS felt, event_id::VARCHAR AS ids, value::DOUBLE AS longitude, 3.5::DOUBLE AS depth "
+    "FROM events WHERE event_id % 3 <> 2"
+)
+def geojson_mistyped_default(spark, sf):
+    """Values of other JSON types than their columns convert; none turns into a default."""
+    documents = parse_documents(mistyped_documents(table(spark, sf, "events")), "document")
+    return curate(documents).select("mag", "time", "tsunami", "felt", "ids", "longitude", "depth")
+
+
+@query("SELECT event_id::VARCHAR AS ids FROM events WHERE event_id % 3 = 2")
+def geojson_mistyped_failed(spark, sf):
+    """Values that do not convert fail their row."""
+    documents = parse_documents(mistyped_documents(table(spark, sf, "events")), "document")
+    return flatten(documents)[1].select("ids")
+
+
 @query("SELECT ',' || event_id::VARCHAR || ',' AS ids FROM events WHERE value >= 5 AND value < 6")
 def geojson_failed_features(spark, sf):
     """The features the null-preserving flatten leaves out."""

@@ -220,11 +220,22 @@ def test_documents_without_rows_and_broken_ones(spark, tmp_path):
     assert [tuple(r) for r in broken.collect()] == [('{"features": [', False)]
 
 
-def test_a_partly_readable_document_keeps_its_rows(spark, tmp_path):
-    path = land(tmp_path / "in", doc(feature(mag="strong", ids="a"), feature(mag=2.0, ids="b")))
-    documents = read_landing_geojson(spark, path)
-    assert sorted((r.ids, r.mag) for r in curate(documents).collect()) == [("a", 0.0), ("b", 2.0)]
-    assert [r.partly_read for r in split_documents(documents)[1].collect()] == [True]
+def test_a_value_of_another_type_converts_or_fails_its_row(spark, tmp_path):
+    """Numbers and times as text, counts as flags or with decimals; nothing turns into a default."""
+    features = [
+        feature(mag="4.5", time="1730505600999", felt="7", ids="a"),
+        feature(mag=2, time=1730505600999.0, tsunami=True, felt=3.7, ids="b"),
+        feature(mag="strong", ids="c"), feature(time="noon", ids="d"), feature(sig={"x": 1}, ids="e"),
+    ]
+    path = land(tmp_path / "in", doc(*features))
+    for read in (read_landing_geojson, read_landing_text, read_landing_split):
+        documents = read(spark, path)
+        kept, failed = flatten(documents)
+        rows = {r.ids: r for r in kept.collect()}
+        assert sorted(rows) == ["a", "b"] and sorted(r.ids for r in failed.collect()) == ["c", "d", "e"]
+        assert (rows["a"].mag, rows["a"].time, rows["a"].felt) == (4.5, 1730505600999, 7)
+        assert (rows["b"].mag, rows["b"].time, rows["b"].tsunami, rows["b"].felt) == (2.0, 1730505600999, 1, 3)
+        assert split_documents(documents)[1].count() == 0
 
 
 def test_text_lines_skip_blank_lines(spark, tmp_path):
