@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from seismark.llm._spark import bounded_sample, remainder
 from seismark.llm._text import LOWER, slices, utf8
 
-ROWS_PER_LANGUAGE = 300
+ROWS_PER_LANGUAGE = 200
 SAMPLE_CHARS = 3000
 ORDERS = (1, 2, 3, 4)
 BITS = 12
@@ -158,7 +158,8 @@ def train(rows: list[tuple[str, str]]) -> Model:
     for feature, whole in grams(data, offsets):
         np.add.at(x, (row[: len(feature)][whole], feature[whole]), 1)
     x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
-    scale = 1 / (x.std(axis=0) * np.sqrt(size) + 1e-7) * (x > 0).any(axis=0)
+    spread = np.sqrt(np.maximum(np.einsum("nf,nf->f", x, x, dtype=np.float64) / len(x) - x.mean(axis=0, dtype=np.float64) ** 2, 0))
+    scale = np.where(x.max(axis=0) > 0, 1 / (spread * np.sqrt(size) + 1e-7), 0).astype(np.float32)
     x *= scale
     families: dict[str, list[int]] = {}
     for number, lang in enumerate(languages):

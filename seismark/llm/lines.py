@@ -37,7 +37,7 @@ HOT_SHARE = 2e-4
 HOT_LINES = 100
 SAMPLE = 50
 PARTITION_ENTRIES = 1_000_000
-VERIFIED_CHARS = 1 << 21
+VERIFIED_CHARS = 1 << 20
 
 _inverse = np.ones(1, np.uint64)
 
@@ -234,13 +234,13 @@ def verify(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordB
     for batch in batches:
         left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
         size = np.array([max(len(x), len(y)) for x, y in zip(left, right, strict=True)], np.int64)
-        order, at, good = np.argsort(size, kind="stable"), 0, []
-        while at < len(order):
-            stop = at + max(1, VERIFIED_CHARS // max(1, int(size[order[min(len(order) - 1, at + 256)]])))
-            part = order[at : min(stop, at + 256) if stop < len(order) else stop]
+        order, end, good = np.argsort(size, kind="stable"), len(size), []
+        while end:  # from the longest down, so a block is no wider than its first pair
+            start = max(0, end - max(1, VERIFIED_CHARS // max(1, int(size[order[end - 1]]))))
+            part = order[start:end]
             near = edit_distances([left[i] for i in part], [right[i] for i in part], edits) <= edits
             good.append(part[near])
-            at += len(part)
+            end = start
         if good:
             kept = pa.array(np.sort(np.concatenate(good)))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(kept) for c in ("a", "b")], names=["a", "b"])
