@@ -38,6 +38,8 @@ HOT_LINES = 100
 SAMPLE = 50
 PARTITION_ENTRIES = 1_000_000
 VERIFIED_CHARS = 1 << 20
+#: Bits of the map of lines to verify, 8 MB.
+BITMAP_BITS = 26
 
 _inverse = np.ones(1, np.uint64)
 
@@ -261,11 +263,22 @@ def near_lines(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int = MI
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines-pairs")
     wanted = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
 
+    # a bitmap of fixed size keeps most other lines out of the shuffle that the exact join needs
+    index = F.shiftrightunsigned("line", 64 - BITMAP_BITS)
+    words = wanted.groupBy(F.shiftright(index, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(line, {64 - BITMAP_BITS}) & 63 AS INT))")).alias("bits")
+    ).toArrow()
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = documents.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             lines = Lines.of(*utf8(batch.column("text")), min_chars)
             lines.prepare()
             _, first = np.unique(lines.low, return_index=True)
+            at = lines.low[first] >> np.uint64(64 - BITMAP_BITS)
+            first = first[(shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) > 0]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(lines.low[first])), pa.array([lines.text(i) for i in first.tolist()], pa.string())], names=["line", "line_text"]
             )
