@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismark.llm import decontamination, language, lines, lm_score, packing, passages, simhash, substring, topk, toxicity
+from seismark.llm import decontamination, language, lines, lm_score, oracle, packing, passages, simhash, substring, topk, toxicity
 from seismark.llm._ship import ship_package
 from seismark.workload.registry import table
 
@@ -41,7 +41,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-@query()
+@query(oracle.TOP_K)
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -56,7 +56,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracle.DECONTAMINATION)
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -72,7 +72,7 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracle.PASSAGES)
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_passages(table(spark, sf_dir, "documents"))
 
