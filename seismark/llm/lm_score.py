@@ -2,10 +2,14 @@
 
 Both models are interpolated word bigrams over one vocabulary with the same weights: the target
 model counts the documents that the caller marks, the background model all documents. The
-vocabulary is every word with at least ``WORD_SHARE`` of all words of the corpus and a class for
-the others; a bigram is kept with at least ``PAIR_SHARE`` of all words. Shares bound both tables (at
-most 1 / share entries) at any corpus size, so they can be broadcast, while the counts they are
-chosen from are taken over every word and pair of every document and reduced by key in shuffles.
+vocabulary is every word of the corpus and a class for unseen ones; every pair of neighbouring words
+is counted, in every document, and none is cut off, so the model grows with the corpus and is a
+table. Pairs are named by a 64-bit hash.
+
+The loss difference of each pair is worked out by joins on that table. Pairs with at least
+``HOT_SHARE`` of all tokens, at most ``1 / HOT_SHARE`` of them, are broadcast and looked up in the
+pass over the texts; they are the keys that would crowd a shuffle. What other pairs a document has
+meets the table in a join, once per document and pair.
 
 A token's loss difference is taken in whole millionths, so a document's sum is exact and does not
 depend on its order. Lower is more like the target.
@@ -21,18 +25,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seismark.llm._spark import written
-from seismark.llm._text import LOWER, WORD_OR_HIGH, signed, slices, utf8, word_hashes, word_spans
+from seismark.llm._text import LOWER, WORD_OR_HIGH, mix, signed, slices, utf8, word_hashes, word_spans
 
-WORD_SHARE = 1e-5
-PAIR_SHARE = 2e-6
+HOT_SHARE = 1e-6
 BIGRAM_WEIGHT = 0.6
 #: Distinct keys that a task sums before it hands them on.
 HELD_KEYS = 1 << 20
 MICRO = 1_000_000
+#: Stands in front of a document's first word.
+BOUNDARY = 0
 
 
 def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -43,141 +49,124 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return signed(word_hashes(data, starts, ends)), at
 
 
-def vocabulary_ids(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Place in the sorted vocabulary, or its length for a word outside."""
-    if not len(words):
-        return np.zeros(len(hashes), np.int64)
-    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-    return np.where(words[at] == hashes, at, len(words))
-
+def word_pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pair key, word and word before of every token, and the offsets of the rows."""
+    word, at = tokens(batch)
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[at[:-1][np.diff(at) > 0]] = BOUNDARY
+    return signed(mix(mix(before.view(np.uint64)) + word.view(np.uint64))), word, before, at
 
-def pair_keys(ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """previous * (size + 2) + word; before a row's first word stands the boundary, size + 1."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[at[:-1][np.diff(at) > 0]] = size + 1
-    return before * (size + 2) + ids
 
+def counted(texts: DataFrame) -> DataFrame:
+    """(key, word, before, n) over all rows; tasks sum before the shuffle."""
 
-def counted(texts: DataFrame, keys) -> DataFrame:
-    """(key, n) over all rows; ``keys(batch)`` gives the keys of a slice. Tasks sum before the shuffle."""
+    def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        key, word, before, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        return key, word[first], before[first], np.bincount(inverse, n, len(key)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        sums: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            key, inverse = np.unique(np.concatenate(held), return_inverse=True)
-            return key, np.bincount(inverse, np.concatenate(sums), len(key)).astype(np.int64)
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["key", "word", "before", "n"])
 
         for batch in slices(batches, "text"):
-            key, n = np.unique(keys(batch), return_counts=True)
-            held.append(key)
-            sums.append(n)
-            if sum(map(len, held)) > HELD_KEYS:
-                key, n = merged()
-                held, sums = [key], [n]
-                if len(key) > HELD_KEYS // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
-                    held, sums = [], []
+            key, word, before, _ = word_pairs(batch)
+            held.append(summed([(key, word, before, np.ones(len(key), np.int64))]))
+            if sum(len(part[0]) for part in held) > HELD_KEYS:
+                held = [summed(held)]
+                if len(held[0][0]) > HELD_KEYS // 2:
+                    yield out()
+                    held = []
         if held:
-            key, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
-
-    return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def model_counts(documents: DataFrame, target: DataFrame, keys, share: float) -> dict[str, np.ndarray]:
-    """Keys with at least ``share`` of all counts: their counts in both corpora, and both totals."""
-    both = (
-        counted(documents, keys).withColumn("t", F.lit(0)).unionByName(counted(target, keys).select("key", F.lit(0).alias("n"), F.col("n").alias("t")))
-    ).groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    table = written(both, "lm-counts")
-    total, aimed = (x or 0 for x in table.agg(F.sum("n"), F.sum("t")).first())
-    rows = table.where(F.col("n") >= F.lit(share * total)).orderBy("key").toArrow()  # at most 1 / share rows
-    return {
-        "key": rows["key"].to_numpy(), "n": rows["n"].to_numpy().astype(np.int64), "t": rows["t"].to_numpy().astype(np.int64),
-        "total": total, "aimed": aimed,
-    }
-
-
-class Model:
-    """Unigram probabilities of both models and, for each kept pair, its loss difference."""
-
-    def __init__(self, words: dict, pairs: dict):
-        self.words, size = words["key"], len(words["key"])
-        self.size, self.pairs = size, pairs["key"]
-        n = np.append(words["n"], words["total"] - words["n"].sum()).astype(np.float64)
-        t = np.append(words["t"], words["aimed"] - words["t"].sum()).astype(np.float64)
-        self.background = (n + 1) / (words["total"] + size + 1)
-        self.target = (t + 1) / (words["aimed"] + size + 1)
-        before, word = self.pairs // (size + 2), self.pairs % (size + 2)
-        # a word's count as a predecessor, boundaries included, is the sum over what follows it
-        self.pair_background = pairs["n"] / np.maximum(self.context(n, before, pairs["rows"]), 1)
-        self.pair_target = pairs["t"] / np.maximum(self.context(t, before, pairs["aimed_rows"]), 1)
-        self.known = self.micro(word, self.pair_background, self.pair_target)
-        every = np.arange(size + 1)
-        self.unseen = self.micro(every, np.zeros(size + 1), np.zeros(size + 1))
-
-    @staticmethod
-    def context(counts: np.ndarray, before: np.ndarray, rows: int) -> np.ndarray:
-        return np.concatenate([counts, [rows]])[before]
-
-    def micro(self, word: np.ndarray, pair_background: np.ndarray, pair_target: np.ndarray) -> np.ndarray:
-        """Loss under the target less loss under the background, in millionths of a nat."""
-        a = BIGRAM_WEIGHT * pair_target + (1 - BIGRAM_WEIGHT) * self.target[word]
-        b = BIGRAM_WEIGHT * pair_background + (1 - BIGRAM_WEIGHT) * self.background[word]
-        return np.floor((np.log(b) - np.log(a)) * MICRO + 0.5).astype(np.int64)
-
-    def differences(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Loss difference of every token."""
-        ids = vocabulary_ids(hashes, self.words)
-        if not len(ids):
-            return np.empty(0, np.int64)
-        result = self.unseen[ids]
-        if len(self.pairs):
-            key = pair_keys(ids, at, self.size)
-            place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            hit = self.pairs[place] == key
-            result[hit] = self.known[place[hit]]
-        return result
-
-
-def train(documents: DataFrame, target: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
-    """Both models, counted over all rows of ``documents`` and of its part ``target``."""
-    spark = documents.sparkSession
-    words = model_counts(documents, target, lambda batch: tokens(batch)[0], word_share)
-    shared = spark.sparkContext.broadcast(words["key"])
-
-    def pairs_of(batch: pa.RecordBatch) -> np.ndarray:
-        hashes, at = tokens(batch)
-        return pair_keys(vocabulary_ids(hashes, shared.value), at, len(shared.value)) if len(hashes) else np.empty(0, np.int64)
-
-    pairs = model_counts(documents, target, pairs_of, pair_share)
-    pairs["rows"], pairs["aimed_rows"] = documents.count(), target.count()
-    return Model(words, pairs)
-
-
-def score(documents: DataFrame, model: Model) -> DataFrame:
+            held = [summed(held)]
+            yield out()
+
+    rows = texts.select("text").mapInArrow(run, "key long, word long, before long, n long")
+    return rows.groupBy("key").agg(F.min("word").alias("word"), F.min("before").alias("before"), F.sum("n").alias("n"))
+
+
+def loss_differences(documents: DataFrame, target: DataFrame) -> tuple[DataFrame, int]:
+    """(key, n, micro) of every pair: its count and its loss under the target less that under the
+    background, in millionths of a nat; and the number of tokens of all documents."""
+    pair = F.struct("word", "before")
+    both = counted(documents).withColumn("t", F.lit(0).cast("long")).unionByName(
+        counted(target).select("key", "word", "before", F.lit(0).cast("long").alias("n"), F.col("n").alias("t"))
+    )
+    pairs = written(
+        both.groupBy("key").agg(F.min(pair).alias("pair"), F.sum("n").alias("n"), F.sum("t").alias("t")).select("key", "pair.*", "n", "t"), "lm-pairs"
+    )
+    words = written(pairs.groupBy("word").agg(F.sum("n").alias("own_n"), F.sum("t").alias("own_t")), "lm-words")
+    total, aimed, size = words.agg(F.sum("own_n"), F.sum("own_t"), F.count(F.lit(1))).first()
+    total, aimed = total or 0, aimed or 0
+    # a word's count as a predecessor, document ends included, is its count; a boundary's is that of rows
+    rows, aimed_rows = documents.count(), target.count()
+    start = documents.sparkSession.range(1).select(
+        F.lit(BOUNDARY).cast("long").alias("before"), F.lit(rows).cast("long").alias("context_n"), F.lit(aimed_rows).cast("long").alias("context_t")
+    )
+    context = words.select(F.col("word").alias("before"), F.col("own_n").alias("context_n"), F.col("own_t").alias("context_t")).unionByName(start)
+
+    def chance(pair_count: str, context_count: str, word_count: str, tokens_: int) -> Column:
+        seen = F.col(pair_count) / F.greatest(F.col(context_count), F.lit(1))
+        return BIGRAM_WEIGHT * seen + (1 - BIGRAM_WEIGHT) * ((F.col(word_count) + 1) / F.lit(float(tokens_ + size + 1)))
+
+    loss = F.ln(chance("n", "context_n", "own_n", total)) - F.ln(chance("t", "context_t", "own_t", aimed))
+    known = pairs.join(words, "word").join(context, "before")
+    return written(known.select("key", "n", F.floor(loss * MICRO + 0.5).alias("micro")), "lm-losses"), total
+
+
+def score(documents: DataFrame, losses: DataFrame, total: int, hot_share: float = HOT_SHARE) -> DataFrame:
     """(doc_id, n_tokens, difference_micro, score): mean loss difference per token, in nats."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    hot = losses.where(F.col("n") >= F.lit(hot_share * total)).orderBy("key").toArrow()  # at most 1 / hot_share rows
+    shared = documents.sparkSession.sparkContext.broadcast((hot["key"].to_numpy(), hot["micro"].to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 40
+        hot_key, hot_micro = shared.value
         for batch in slices(batches, "text"):
-            hashes, at = tokens(batch)
-            total = np.concatenate([[0], np.cumsum(shared.value.differences(hashes, at))])
+            key, _, _, at = word_pairs(batch)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            if len(hot_key):
+                where = np.minimum(np.searchsorted(hot_key, key), len(hot_key) - 1)
+                hit = hot_key[where] == key
+                micro = np.where(hit, hot_micro[where], 0)
+            else:
+                hit, micro = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
+            sums = np.concatenate([[0], np.cumsum(micro)])
+            row, key = row[~hit], key[~hit]
+            order = np.lexsort((key, row))
+            row, key = row[order], key[order]
+            fresh = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])])[: len(row)])
+            times = np.diff(np.concatenate([fresh, [len(row)]])).astype(np.int32)
+            bounds = pa.array(np.searchsorted(row[fresh], np.arange(batch.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(at)), pa.array(total[at[1:]] - total[at[:-1]])],
-                names=["doc_id", "n_tokens", "difference_micro"],
-            )
-
-    scored = documents.mapInArrow(run, "doc_id long, n_tokens long, difference_micro long")
+                [
+                    pa.array(place + np.arange(batch.num_rows)), batch.column("doc_id"), pa.array(np.diff(at)), pa.array(sums[at[1:]] - sums[at[:-1]]),
+                    pa.ListArray.from_arrays(bounds, pa.array(key[fresh])), pa.ListArray.from_arrays(bounds, pa.array(times)),
+                ],
+                names=["place", "doc_id", "n_tokens", "hot_micro", "keys", "times"],
+            )
+            place += batch.num_rows
+
+    shape = "place long, doc_id long, n_tokens long, hot_micro long, keys array<long>, times array<int>"
+    # written once: a repeated task could name its rows otherwise
+    passed = written(documents.mapInArrow(run, shape), "lm-rows")
+    rare = passed.select("place", F.explode(F.arrays_zip("keys", "times")).alias("pair")).select("place", F.col("pair.keys").alias("key"), "pair.times")
+    rest = rare.join(losses.where(F.col("n") < F.lit(hot_share * total)), "key").groupBy("place").agg(F.sum(F.col("micro") * F.col("times")).alias("rare_micro"))
+    scored = passed.drop("keys", "times").join(rest, "place", "left").select(
+        "doc_id", "n_tokens", (F.col("hot_micro") + F.coalesce("rare_micro", F.lit(0))).alias("difference_micro")
+    )
     mean = F.col("difference_micro") / F.col("n_tokens") / MICRO
     return scored.withColumn("score", F.when(F.col("n_tokens") > 0, mean))
 
 
-def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def cross_entropy_difference(
+    documents: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
     """Score every document against the documents whose id is in ``target_ids`` (column doc_id)."""
     texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     target = written(texts.join(target_ids.select("doc_id").distinct(), "doc_id", "left_semi"), "lm-target")
-    return score(texts, train(texts, target))
+    return score(texts, *loss_differences(texts, target), hot_share)

@@ -302,8 +302,12 @@ def test_lm_score(spark):
     rows = odd_texts()
     documents = frame(spark, rows)
     target = documents.where("doc_id between 5 and 9").select("doc_id")
-    model_rows = lm_score.cross_entropy_difference(documents, target)
-    found = counted(model_rows.select("doc_id", "n_tokens", "difference_micro").collect())
+    columns = "doc_id", "n_tokens", "difference_micro"
+    # all pairs by broadcast, as in so small a table; all by the join; some by each
+    found, joined, mixed = (
+        counted(lm_score.cross_entropy_difference(documents, target, hot_share=share).select(*columns).collect())
+        for share in (lm_score.HOT_SHARE, 2.0, 2e-3)
+    )
     import re
 
     token = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -311,7 +315,7 @@ def test_lm_score(spark):
     aimed = [w for i, w in split if i is not None and 5 <= i <= 9]
     single = [Counter(x for w in part for x in w) for part in ([w for _, w in split], aimed)]
     total = [sum(c.values()) for c in single]
-    known = {w for w, n in single[0].items() if n >= lm_score.WORD_SHARE * total[0]}
+    known = set(single[0])
     named = lambda w: [x if x in known else None for x in w]
     pair = [Counter(p for w in part for p in zip(["^", *named(w)], named(w), strict=False)) for part in ([w for _, w in split], aimed)]
     rows_of = len(split), len(aimed)
@@ -320,15 +324,14 @@ def test_lm_score(spark):
     def p(model, before, word):
         own = single[model][word] if word is not None else total[model] - sum(single[model][w] for w in known)
         context = rows_of[model] if before == "^" else single[model][before] if before is not None else total[model] - sum(single[model][w] for w in known)
-        kept = pair[0][before, word] >= lm_score.PAIR_SHARE * total[0]
-        seen = pair[model][before, word] / max(context, 1) if kept else 0
+        seen = pair[model][before, word] / max(context, 1)
         return lm_score.BIGRAM_WEIGHT * seen + (1 - lm_score.BIGRAM_WEIGHT) * (own + 1) / (total[model] + size + 1)
 
     want = Counter()
     for i, w in split:
         micro = sum(int(np.floor((np.log(p(0, a, b)) - np.log(p(1, a, b))) * 1e6 + 0.5)) for a, b in zip(["^", *named(w)], named(w), strict=False))
         want[i, len(w), micro] += 1
-    assert found == want
+    assert found == joined == mixed == want
 
 
 def test_empty_tables(spark):
