@@ -30,14 +30,20 @@ def mean(value: str, exact_scale: int | None = None) -> Column:
     digit. With ``exact_scale`` the terms are summed as whole units of that many decimals instead:
     the result is the same on every run, and exact when the values have no more decimals than that.
     Two integer sums, of the high and the low bits, take as long as one sum of doubles and leave
-    room for far more rows than one would.
+    room for far more rows than one would. Terms that no such integer holds (NaN, infinite, beyond
+    2**53 units) are summed as doubles beside them.
     """
     if exact_scale is None:
         return F.avg(value)
-    units = F.rint(F.col(value).cast("double") * 10**exact_scale).cast("bigint")
+    term = F.col(value).cast("double")
+    scaled = F.rint(term * 10**exact_scale)
+    whole = F.abs(scaled) < float(1 << 53)  # false for NaN, which Spark orders last
+    units = F.when(whole, scaled).try_cast("bigint")
     high = F.sum(F.shiftright(units, _LOW_BITS))
     low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-    total = (high * float(1 << _LOW_BITS) + low) / 10**exact_scale
+    exact = F.coalesce((high * float(1 << _LOW_BITS) + low) / 10**exact_scale, F.lit(0.0))
+    other = F.sum(F.when(~whole, term))
+    total = F.when(other.isNull(), exact).otherwise(exact + other)
     return F.when(F.count(value) > 0, total / F.count(value))
 
 

@@ -8,9 +8,10 @@ from contextlib import AbstractContextManager, nullcontext
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seismark.plans.curate import curate, flatten
-from seismark.schema import CORRUPT, CURATED_SCHEMA, REQUIRED_COLUMNS, REQUIRED_COLUMNS_SCHEDULED
+from seismark.schema import CORRUPT, REQUIRED_COLUMNS, REQUIRED_COLUMNS_SCHEDULED
 from seismark.sinks.audit import AuditLog
 from seismark.sinks.files import dated, write_ndjson, write_parquet_overwrite
 from seismark.sinks.gates import require_rows
@@ -30,6 +31,8 @@ def write_curated(
     load: str,
     quarantine: str | None = None,
     ingested_at: dt.datetime | Column | None = None,
+    area: str = "split",
+    time_format: str = "timestamp",
 ) -> dict[str, int]:
     """Curate documents, hand the rows to ``write``, and account for what was lost on the way.
 
@@ -44,7 +47,7 @@ def write_curated(
         F.count_if(F.col(CORRUPT).isNotNull()).alias("broken_documents"),
         F.coalesce(F.sum(F.array_size("features")), F.lit(0)).alias("features"),
     )
-    rows, written = with_row_count(curate(counted, ingested_at=ingested_at))
+    rows, written = with_row_count(curate(counted, area, time_format, ingested_at))
     write(rows)
     counts = {**seen.get, **written.get}
     if quarantine is not None and counts["broken_documents"]:
@@ -69,11 +72,14 @@ def load_landed_day(
     audit: AuditLog | None = None,
     ingested_at: dt.datetime | Column | None = None,
     location: str | None = None,
+    area: str = "split",
+    time_format: str = "timestamp",
 ) -> LoadResult:
     """Curate the landed documents of one day into ``silver`` and load that day into ``table``.
 
     The table is loaded from the written Parquet, so the required-column check is a scan of those
-    columns and a failed table load repeats no parsing.
+    columns and a failed table load repeats no parsing. ``area`` and ``time_format`` choose the
+    reading of regions and times, as in ``curate``.
     """
     documents, folder = reader(spark, landing), dated(silver, day)
     with _step(audit, "curate_to_parquet", landing) as step:
@@ -84,6 +90,8 @@ def load_landed_day(
             folder.rsplit("/", 1)[1],
             quarantine,
             ingested_at,
+            area,
+            time_format,
         )
         if step is not None:
             step.info = f"{landing} {counts}"
@@ -116,12 +124,15 @@ def json_route_load(
     max_bad_records: int = 50,
     ingested_at: dt.datetime | Column | None = None,
     location: str | None = None,
+    area: str = "split",
+    time_format: str = "timestamp",
 ) -> LoadResult:
     """Replace the table by way of newline-delimited JSON, with a budget of unreadable lines."""
-    rows = curate(reader(spark, landing), ingested_at=ingested_at)
+    rows = curate(reader(spark, landing), area, time_format, ingested_at)
     require_rows(rows)
     write_ndjson(rows, ndjson)
+    nullable = T.StructType([T.StructField(field.name, field.dataType) for field in rows.schema])
     return load_ndjson(
-        spark, ndjson, CURATED_SCHEMA, table, max_bad_records, "truncate", location,
+        spark, ndjson, nullable, table, max_bad_records, "truncate", location,
         required=REQUIRED_COLUMNS,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -35,7 +36,7 @@ class AuditLog:
         clock: Callable[[], dt.datetime] = _utc_now,
     ):
         self.spark, self.path, self.pipeline, self.clock = spark, path, pipeline, clock
-        self.run_id = run_id or f"run_{clock():%Y%m%d%H%M%S}"
+        self.run_id = run_id or f"run_{clock():%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
 
     def record(
         self, step: str, status: str, start: dt.datetime, end: dt.datetime | None = None,

@@ -26,8 +26,14 @@ class LoadResult(NamedTuple):
     rows: int
 
 
+def _literal(text: str) -> str:
+    """The text as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
@@ -92,7 +98,7 @@ def _point_table_at(spark: SparkSession, table: str, folder: str, exists: bool)
         old = [(f.name, f.dataType) for f in spark.table(table).schema]
         new = [(f.name, f.dataType) for f in spark.read.parquet(folder).schema]
         if old == new:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections import Counter, defaultdict
 
 import pytest
@@ -174,3 +175,12 @@ def test_orders_place_nulls(spark):
     assert [tuple(r) for r in top_k_by_key(df, "k", "v", k=3).collect()] == [
         (None, "a"), (1, "c"), (2, "a"),
     ]
+
+
+def test_exact_mean_of_terms_no_integer_holds(spark):
+    rows = [("a", 0.25), ("a", 0.5), ("nan", 1.0), ("nan", float("nan")), ("huge", 1e300), ("huge", 1.0)]
+    rows += [("inf", float("inf")), ("none", None), ("part", None), ("part", 0.1)]
+    df = spark.createDataFrame(rows, "area string, mag double")
+    means = {r.area: r.avg_value for r in agg.avg_by_region(df, exact_scale=2).collect()}
+    assert math.isnan(means.pop("nan"))
+    assert means == {"a": 0.375, "huge": 5e299, "inf": math.inf, "none": None, "part": 0.1}

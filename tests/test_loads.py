@@ -253,7 +253,7 @@ def test_json_route(spark, tmp_path, table):
 def test_audit_rows(spark, tmp_path):
     times = iter(dt.datetime(2024, 1, 1, 0, 0, s, tzinfo=dt.timezone.utc) for s in range(60))
     log = AuditLog(spark, str(tmp_path / "audit"), "feed", clock=lambda: next(times))
-    assert log.run_id == "run_20240101000000"
+    assert log.run_id.startswith("run_20240101000000_")
     with log.step("write", info="start") as step:
         step.info = "12 rows"
     with pytest.raises(RuntimeError), log.step("load"):
@@ -359,3 +359,33 @@ def test_work_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     a, b = work_folder(spark, "x"), work_folder(spark, "x")
     assert a != b and (shared is None or a.startswith(shared))
+
+
+@pytest.mark.parametrize("route", ["curated", "json"])
+def test_loads_choose_area_and_time_reading(spark, tmp_path, table, route):
+    landed(tmp_path / "in", 1.5)
+    options = {"area": "regex", "time_format": "string"}
+    if route == "curated":
+        historical_load(spark, str(tmp_path / "in"), str(tmp_path / "s"), table, "20240101", **options)
+    else:
+        json_route_load(spark, str(tmp_path / "in"), str(tmp_path / "n"), table, **options)
+    loaded = spark.table(table)
+    assert len(loaded.columns) == 31
+    assert dict(loaded.dtypes)["time"] == dict(loaded.dtypes)["updated"] == "string"
+    assert loaded.select(F.length("time"), F.trim("area")).first() == (19, "P1.5, Q")
+
+
+def test_location_with_a_quote(spark, tmp_path):
+    ensure_namespace(spark, "quoted_test", str(tmp_path / "o'clock"))
+    try:
+        load_table(frame(spark, (1, "a")), "quoted_test.t", "truncate")
+        load_table(frame(spark, (2, "b")), "quoted_test.t", "truncate")
+        assert content(spark.table("quoted_test.t")) == [(2, "b")]
+    finally:
+        spark.sql("DROP DATABASE quoted_test CASCADE")
+
+
+def test_audit_logs_of_one_second_are_apart(spark, tmp_path):
+    clock = lambda: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    first, second = (AuditLog(spark, str(tmp_path), "feed", clock=clock) for _ in range(2))
+    assert first.run_id != second.run_id
