@@ -15,6 +15,14 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``written`` table; nothing may read it or what was derived from it unwritten."""
+    context = table.sparkSession.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remainder(id_column: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; null for a null id."""
     return F.crc32(F.col(id_column).cast("string")) % n
