@@ -8,11 +8,24 @@ from pyspark.sql import functions as F
 from seismark.session import work_folder
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and safe from lost executors."""
-    path = work_folder(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+#: Lets Spark delete a query's shuffle files as the query ends, not when the driver next collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(frame: DataFrame, label: str, free_shuffles: bool = False) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and safe from lost executors.
+
+    With ``free_shuffles`` what was shuffled for it goes at once; the table no longer needs it.
+    """
+    spark = frame.sparkSession
+    path = work_folder(spark, label)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, str(free_shuffles or before == "true").lower())
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.parquet(path)
 
 
 def discard(table: DataFrame) -> None:

@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from seismark.llm._spark import discard, written
 from seismark.llm._text import LOWER, WORD_OR_HIGH, mix, signed, slices, utf8, word_hashes, word_spans
 
-HOT_SHARE = 1e-6
+#: Bounds each broadcast list to four million entries of 24 bytes.
+HOT_SHARE = 2.5e-7
 BIGRAM_WEIGHT = 0.6
 #: Distinct keys that a task sums before it hands them on.
-HELD_KEYS = 1 << 21
+HELD_KEYS = 1 << 20
 MICRO = 1_000_000
 #: Target ids that are broadcast; more of them meet the documents in a shuffled join.
 BROADCAST_IDS = 2_000_000
@@ -142,7 +143,7 @@ def word_counts(marked: DataFrame, hot_share: float) -> tuple[DataFrame, Words]:
         word, at = tokens(batch)
         return word, word, at
 
-    words = written(counted(marked, ["word"], parts), "lm-words")
+    words = written(counted(marked, ["word"], parts), "lm-words", free_shuffles=True)
     total, aimed, size = words.agg(F.sum("n"), F.sum("t"), F.count(F.lit(1))).first()
     total, aimed = total or 0, aimed or 0
     rows, aimed_rows = marked.agg(F.count(F.lit(1)), F.count_if("target")).first()
@@ -183,7 +184,7 @@ def loss_table(marked: DataFrame, words: DataFrame, shared) -> DataFrame:
 
     top = len(shared.value.word)
     before_hot, word_hot = F.col("a").between(0, top), F.col("b").between(0, top - 1)
-    pairs = written(counted(marked, ["a", "b"], parts).where(~(before_hot & word_hot) | (F.col("n") > 1)), "lm-pairs")
+    pairs = written(counted(marked, ["a", "b"], parts).where(~(before_hot & word_hot) | (F.col("n") > 1)), "lm-pairs", free_shuffles=True)
     # a rare word is looked up in the table, a frequent one in the broadcast list: no join has a frequent key
     before = words.select(F.col("word").alias("a"), F.col("n").alias("context_n"), F.col("t").alias("context_t"))
     own = words.select(F.col("word").alias("b"), F.col("n").alias("own_n"), F.col("t").alias("own_t"))
@@ -196,7 +197,7 @@ def loss_table(marked: DataFrame, words: DataFrame, shared) -> DataFrame:
     whole = ["a", "b", "n", "t", "context_n", "context_t", "own_n", "own_t"]
     aligned = [kind.select(*[F.col(c) if c in kind.columns else F.lit(0).cast("long").alias(c) for c in whole]) for kind in kinds]
     every = aligned[0].unionByName(aligned[1]).unionByName(aligned[2]).unionByName(aligned[3])
-    table = written(every.mapInArrow(losses, "key long, n long, outside long, inside long"), "lm-losses")
+    table = written(every.mapInArrow(losses, "key long, n long, outside long, inside long"), "lm-losses", free_shuffles=True)
     discard(pairs)
     return table
 
@@ -267,7 +268,7 @@ def cross_entropy_difference(
     few = ids.count() <= BROADCAST_IDS
     marked = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left").select("doc_id", "text", F.coalesce("marked", F.lit(False)).alias("target"))
     if not few:
-        marked = written(marked, "lm-marked")
+        marked = written(marked, "lm-marked", free_shuffles=True)
     words, known = word_counts(marked, hot_share)
     shared = documents.sparkSession.sparkContext.broadcast(known)
     losses = loss_table(marked, words, shared)
