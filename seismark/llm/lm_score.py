@@ -154,8 +154,8 @@ def word_counts(marked: DataFrame, hot_share: float) -> tuple[DataFrame, Words]:
 
 
 def loss_table(marked: DataFrame, words: DataFrame, shared) -> DataFrame:
-    """(key, n, outside, inside): a pair's count, and what is to be added for each time a document
-    outside or inside the target has it."""
+    """(key, n, outside, more): a pair's count, what is to be added for each time a document outside
+    the target has it, and what more inside the target."""
 
     def parts(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         a, b, at = shared.value.codes(batch)
@@ -179,7 +179,8 @@ def loss_table(marked: DataFrame, words: DataFrame, shared) -> DataFrame:
             outside[hot] -= known.single(a[hot], b[hot], 0)
             inside[hot] -= known.single(a[hot], b[hot], 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (known.key(a, b), n, outside, inside)], names=["key", "n", "outside", "inside"]
+                [pa.array(x) for x in (known.key(a, b), n, outside.astype(np.int32), (inside - outside).astype(np.int32))],
+                names=["key", "n", "outside", "more"],
             )
 
     top = len(shared.value.word)
@@ -197,7 +198,7 @@ def loss_table(marked: DataFrame, words: DataFrame, shared) -> DataFrame:
     whole = ["a", "b", "n", "t", "context_n", "context_t", "own_n", "own_t"]
     aligned = [kind.select(*[F.col(c) if c in kind.columns else F.lit(0).cast("long").alias(c) for c in whole]) for kind in kinds]
     every = aligned[0].unionByName(aligned[1]).unionByName(aligned[2]).unionByName(aligned[3])
-    table = written(every.mapInArrow(losses, "key long, n long, outside long, inside long"), "lm-losses", free_shuffles=True)
+    table = written(every.mapInArrow(losses, "key long, n long, outside int, more int"), "lm-losses", free_shuffles=True)
     discard(pairs)
     return table
 
@@ -206,7 +207,8 @@ def score(marked: DataFrame, losses: DataFrame, shared, hot_share: float) -> Dat
     """(doc_id, n_tokens, difference_micro, score): mean loss difference per token, in nats."""
     bound = F.lit(hot_share * shared.value.tokens[0])
     hot = losses.where(F.col("n") >= bound).orderBy("key").toArrow()  # at most 1 / hot_share rows
-    frequent = marked.sparkSession.sparkContext.broadcast((hot["key"].to_numpy(), np.stack([hot["outside"].to_numpy(), hot["inside"].to_numpy()])))
+    outside = hot["outside"].to_numpy()
+    frequent = marked.sparkSession.sparkContext.broadcast((hot["key"].to_numpy(), np.stack([outside, outside + hot["more"].to_numpy()])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Words = shared.value
@@ -243,7 +245,7 @@ def score(marked: DataFrame, losses: DataFrame, shared, hot_share: float) -> Dat
 
     shape = "doc_id long, text_hash long, target boolean, key long, times long, n_tokens long, micro long"
     rows = marked.withColumn("text_hash", F.xxhash64("doc_id", "text")).mapInArrow(run, shape)
-    added = F.when(F.col("target"), F.col("inside")).otherwise(F.col("outside"))
+    added = F.col("outside") + F.when(F.col("target"), F.col("more")).otherwise(0)
     met = rows.join(losses.where(F.col("n") < bound).drop("n"), "key", "left")
     # rows with one id and one text are summed together and dealt out again, so no row needs a number
     per_text = met.groupBy("doc_id", "text_hash").agg(
