@@ -39,7 +39,7 @@ from seismark.llm._text import LOWER, WORD_OR_HIGH, mix, signed, slices, utf8, w
 HOT_SHARE = 2.5e-7
 BIGRAM_WEIGHT = 0.6
 #: Distinct keys that a task sums before it hands them on.
-HELD_KEYS = 1 << 20
+HELD_KEYS = 1 << 19
 MICRO = 1_000_000
 #: Target ids that are broadcast; more of them meet the documents in a shuffled join.
 BROADCAST_IDS = 2_000_000
