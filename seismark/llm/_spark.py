@@ -41,6 +41,27 @@ def remainder(id_column: str, n: int) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % n
 
 
+def text_hash(text_column: str) -> Column:
+    """A hash of the text, a null one being empty."""
+    return F.xxhash64(F.coalesce(text_column, F.lit("")))
+
+
+def one_of_each(documents: DataFrame, groups: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each component of ``groups`` (text_hash, component), which names every text once.
+
+    The row with the smallest id stays, null ids coming last; ties go by the hash of the text, then
+    by that of the whole row, so what stays does not depend on the order of the rows.
+    """
+    columns, own = documents.columns, F.col(id_column)
+    source = documents.withColumn("_text", text_hash(text_column)).withColumn("_row", F.xxhash64(*columns))
+    place = F.struct(own.isNull().alias("none"), own.alias("id"), F.col("_text").alias("text"), F.col("_row").alias("row"))
+    first = source.groupBy(F.col("_text").alias("text_hash")).agg(F.min(place).alias("place"))
+    kept = first.join(groups, "text_hash").groupBy("component").agg(F.min("place").alias("place"))
+    named = kept.select("component", F.col("place.id").alias("_id"), F.col("place.text").alias("_text"), F.col("place.row").alias("_row"))
+    met = source.join(named.withColumnRenamed("component", "_component"), ["_text", "_row"])
+    return met.where(own.eqNullSafe(F.col("_id"))).dropDuplicates(["_component"]).select(*columns)
+
+
 def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
     """(node, component) of every node of an edge list (a, b), the smallest node naming it.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismark.llm._spark import components, written
+from seismark.llm._spark import components, one_of_each, text_hash, written
 from seismark.llm._text import LOWER, NOT_SPACE, ranges, signed, slices, utf8, word_spans
 
 SHINGLE_WORDS = 3
@@ -184,14 +184,19 @@ def near_duplicate_links(codes: DataFrame, max_distance: int = MAX_DISTANCE, sha
     return dealt.groupBy("shard").applyInPandas(lambda rows: shard_links(rows, max_distance), "a long, b long")
 
 
+def code_components(classes: DataFrame, max_distance: int) -> DataFrame:
+    """``classes``, one row for each distinct ``code``, with the smallest code that links reach from it."""
+    linked = components(near_duplicate_links(classes.select("code"), max_distance), "simhash-links")
+    return classes.join(linked.withColumnRenamed("node", "code"), "code", "left").select(
+        *classes.columns, F.coalesce("component", "code").alias("component")
+    )
+
+
 def simhash_groups(documents: DataFrame, max_distance: int = MAX_DISTANCE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): the smallest id that links reach from a document."""
     coded = written(fingerprints(documents, id_column, text_column), "simhash-codes")
     classes = written(coded.groupBy("code").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("members")), "simhash-classes")
-    linked = components(near_duplicate_links(classes.select("code"), max_distance), "simhash-links")
-    rooted = classes.join(linked.withColumnRenamed("node", "code"), "code", "left").select(
-        "code", "least", F.coalesce("component", "code").alias("component")
-    )
+    rooted = code_components(classes, max_distance)
     named = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
     groups = rooted.join(named, "component").select("code", "component_id")
     return coded.join(groups, "code").select(
@@ -200,7 +205,9 @@ def simhash_groups(documents: DataFrame, max_distance: int = MAX_DISTANCE, id_co
 
 
 def keep_one_of_each_group(documents: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents whose id names their group, one row each; rows without an id are left out."""
-    groups = simhash_groups(documents, max_distance)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group, the first by id and text; a group whose ids are all null keeps one too."""
+    texts = documents.select(text_hash("text").alias("text_hash"), "text")
+    coded = written(fingerprints(texts, "text_hash").withColumnRenamed("doc_id", "text_hash").distinct(), "simhash-codes")
+    classes = written(coded.select("code").distinct(), "simhash-classes")
+    groups = coded.join(code_components(classes, max_distance), "code").select("text_hash", "component")
+    return one_of_each(documents, groups)
