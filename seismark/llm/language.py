@@ -5,6 +5,11 @@ classifiers are linear support vector machines, trained in numpy on a bounded sa
 rows (``ROWS_PER_LANGUAGE`` of each language, ``SAMPLE_CHARS`` characters of each). Prediction reads
 whole texts: a linear score is a sum of weights, so a text is a lookup per n-gram.
 
+The classifiers tell languages from each other and always name one. Whether a text is in any of them
+at all is told by its likeness: the mean log frequency of its n-grams in a language, against what
+labelled texts score that the frequencies were not counted on. It is low for every language for
+junk and for languages that nobody labelled. Short texts get the wider margin that they need.
+
 Edge cases: a text that is null or has no letter is ``und`` with score 0; without any labelled row
 every text is; a language of an unknown family is a family of its own; with one learned language
 every other text gets it; repeated rows and extra columns do not matter; a null id is not held out
@@ -29,8 +34,12 @@ SAMPLE_CHARS = 3000
 ORDERS = (1, 2, 3, 4)
 BITS = 12
 UNDETERMINED = "und"
-#: Confidence below which a document is rejected.
-MIN_SCORE = 0.2
+#: A text is rejected when it lies this many times further below its language's mean likeness than
+#: all but a few (the share) of the labelled texts do.
+SLACK = 1.5
+#: And never within this many spreads times the slack, however evenly a small sample scores.
+LEAST_SPREADS = 4.0
+OUTLIERS = 0.001
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -67,6 +76,92 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
         yield feature, np.arange(n) + order <= row_end[:n]
 
 
+def mean_weights(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns of ``weights``): mean weight of the n-grams of a row; and their number."""
+    n, columns = len(offsets) - 1, weights.shape[1]
+    total, count = np.zeros((n, columns)), np.zeros(n)
+    filled = np.flatnonzero(np.diff(offsets))
+    for feature, whole in grams(data, offsets):
+        feature, at = feature[whole], np.concatenate([[0], np.cumsum(whole)])[np.minimum(offsets, len(whole))]
+        has = filled[at[filled + 1] > at[filled]]
+        if not len(has):
+            continue
+        count[has] += (at[has + 1] - at[has])
+        for c in range(columns):
+            total[has, c] += np.add.reduceat(weights[:, c][feature], at[has], dtype=np.float64)
+    return total / np.maximum(count, 1)[:, None], count
+
+
+@dataclass
+class Profile:
+    """Log frequencies (features x languages), and what labelled texts score by them: the mean, the
+    spread between long texts, that of a single n-gram, and the limit in these spreads."""
+
+    logs: np.ndarray
+    mean: np.ndarray
+    spread: np.ndarray
+    single: np.ndarray
+    limit: float = np.inf
+
+    def distance(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """(rows, languages): spreads by which a text lies below the mean of a language."""
+        return self.below(*mean_weights(self.logs, data, offsets))
+
+    def below(self, score: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return (self.mean - score) / np.sqrt(self.spread**2 + self.single**2 / np.maximum(count, 1)[:, None])
+
+    def strange(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether a text is unlike every language."""
+        return self.distance(data, offsets).min(axis=1) > self.limit
+
+
+def log_frequencies(texts: list[list[str]]) -> np.ndarray:
+    """(features, languages): log frequency of every feature among those of its order."""
+    size = 1 << BITS
+    count = np.full((len(ORDERS) << BITS, len(texts)), 0.5)
+    for language, own in enumerate(texts):
+        for feature, whole in grams(*utf8(pa.array(own, pa.string()))):
+            count[:, language] += np.bincount(feature[whole], minlength=len(count))
+    by_order = count.reshape(len(ORDERS), size, -1)
+    return np.log(by_order / by_order.sum(axis=1, keepdims=True)).reshape(count.shape)
+
+
+def profile_of(rows: list[tuple[str, str]], languages: list[str]) -> Profile:
+    """The likeness of (text, language) rows; each half of them is scored by the other one.
+
+    A language with one row has no score out of sample, and nothing is rejected then.
+    """
+    texts = [[text for text, lang in rows if lang == name] for name in languages]
+    logs = log_frequencies(texts)
+    score, count, target = [], [], []
+    rng, halves = np.random.default_rng(0), [log_frequencies([own[half::2] for own in texts]) for half in (0, 1)]
+    for language, own in enumerate(texts):
+        for number, text in enumerate(own):
+            pieces = [text]
+            for size in (20, 60, 250):
+                at = int(rng.integers(0, max(1, len(text) - size)))
+                pieces.append(text[at : at + size])
+            found, n = mean_weights(halves[1 - number % 2], *utf8(pa.array(pieces, pa.string())))
+            score.append(found[n > 0])
+            count += n[n > 0].tolist()
+            target += [language] * int((n > 0).sum())
+    every, count, target = np.concatenate(score), np.array(count), np.array(target, np.int64)
+    score = every[np.arange(len(target)), target]
+    profile = Profile(logs, *(np.full(len(languages), 1e-3) for _ in range(3)))
+    for language in range(len(languages)):
+        own = target == language
+        if len(texts[language]) < 2 or not own.any():
+            return profile
+        far, n = score[own] - np.average(score[own], weights=np.sqrt(count[own])), count[own]
+        profile.mean[language] = np.average(score[own], weights=np.sqrt(n))
+        long = n >= np.median(n)
+        profile.spread[language] = max(1e-3, np.sqrt(np.mean(far[long] ** 2)))
+        profile.single[language] = max(1e-3, np.sqrt(np.mean(far[~long] ** 2 * n[~long]))) if (~long).any() else 1e-3
+    # by the nearest language, as texts are judged: a wrong label or a passage in another one is not strange
+    profile.limit = SLACK * max(LEAST_SPREADS, float(np.quantile(profile.below(every, count).min(axis=1), 1 - OUTLIERS)))
+    return profile
+
+
 @dataclass
 class Model:
     """Weights (features x classifiers), biases, and what each classifier decides."""
@@ -76,21 +171,11 @@ class Model:
     pairs: list[tuple[int, int]] = field(default_factory=list)
     weights: np.ndarray | None = None
     bias: np.ndarray | None = None
+    profile: Profile | None = None
 
     def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(rows, classifiers): mean weight of the n-grams of a row, plus the bias."""
-        n, columns = len(offsets) - 1, len(self.bias)
-        total, count = np.zeros((n, columns)), np.zeros(n)
-        filled = np.flatnonzero(np.diff(offsets))
-        for feature, whole in grams(data, offsets):
-            feature, at = feature[whole], np.concatenate([[0], np.cumsum(whole)])[np.minimum(offsets, len(whole))]
-            has = filled[at[filled + 1] > at[filled]]
-            if not len(has):
-                continue
-            count[has] += (at[has + 1] - at[has])
-            for c in range(columns):
-                total[has, c] += np.add.reduceat(self.weights[:, c][feature], at[has], dtype=np.float64)
-        return total / np.maximum(count, 1)[:, None] + self.bias
+        return mean_weights(self.weights, data, offsets)[0] + self.bias
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language number and confidence (0 to 1) of every row."""
@@ -179,8 +264,10 @@ def train(rows: list[tuple[str, str]]) -> Model:
     return Model(languages, members, pairs, np.ascontiguousarray(w[:-1] * scale[:, None]), w[-1].astype(np.float64))
 
 
-def learn(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id") -> Model:
-    """A model from a bounded sample of the labelled rows."""
+def learn(
+    labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id", likeness: bool = False
+) -> Model:
+    """A model from a bounded sample of the labelled rows, with the likeness of a language if asked."""
     text, lang = F.col(text_column), F.col(lang_column)
     rows = labelled.where(text.isNotNull() & lang.isNotNull() & text.rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy(lang.alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -195,11 +282,18 @@ def learn(labelled: DataFrame, text_column: str = "text", lang_column: str = "la
         own = taken.setdefault(r["lang"], [])
         if len(own) < ROWS_PER_LANGUAGE:
             own.append((r["text"], r["lang"]))
-    return train([x for lang in sorted(taken) for x in taken[lang]])
+    rows = [x for lang in sorted(taken) for x in taken[lang]]
+    model = train(rows)
+    if likeness and rows:
+        model.profile = profile_of(rows, model.languages)
+    return model
 
 
 def predict_languages(documents: DataFrame, model: Model, keep: list[str], text_column: str = "text") -> DataFrame:
-    """``keep`` columns of every row with ``lang_pred`` and ``score`` of its whole text."""
+    """``keep`` columns of every row with ``lang_pred`` and ``score`` of its whole text.
+
+    With the likeness learned, a text unlike every language is ``und`` with score 0.
+    """
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -209,6 +303,8 @@ def predict_languages(documents: DataFrame, model: Model, keep: list[str], text_
             known = np.array(batch.column("_lettered").fill_null(False).to_pylist(), bool)
             if model.languages:
                 number, score = model.predict(*utf8(batch.column("_text")))
+                if model.profile:
+                    known &= ~model.profile.strange(*utf8(batch.column("_text")))
                 name = np.array([*model.languages, UNDETERMINED], object)[np.where(known, number, len(model.languages))]
             else:
                 name, score = np.full(len(known), UNDETERMINED, object), np.zeros(len(known))
@@ -234,9 +330,9 @@ def identify(documents: DataFrame) -> DataFrame:
     return scored.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+def keep_identified(documents: DataFrame) -> DataFrame:
     """The documents in a learned language, with all their columns. Texts without a letter go, and
-    those whose language is told with less than ``min_score``."""
-    model = learn(training_rows(documents))
+    those that are unlike every learned language."""
+    model = learn(training_rows(documents), likeness=True)
     scored = predict_languages(documents.withColumn("_whole", F.col("text")), model, documents.columns, "_whole")
-    return scored.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*documents.columns)
+    return scored.where(F.col("lang_pred") != UNDETERMINED).select(*documents.columns)
