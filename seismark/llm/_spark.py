@@ -57,9 +57,10 @@ def one_of_each(documents: DataFrame, groups: DataFrame, id_column: str = "doc_i
     place = F.struct(own.isNull().alias("none"), own.alias("id"), F.col("_text").alias("text"), F.col("_row").alias("row"))
     first = source.groupBy(F.col("_text").alias("text_hash")).agg(F.min(place).alias("place"))
     kept = first.join(groups, "text_hash").groupBy("component").agg(F.min("place").alias("place"))
-    named = kept.select("component", F.col("place.id").alias("_id"), F.col("place.text").alias("_text"), F.col("place.row").alias("_row"))
-    met = source.join(named.withColumnRenamed("component", "_component"), ["_text", "_row"])
-    return met.where(own.eqNullSafe(F.col("_id"))).dropDuplicates(["_component"]).select(*columns)
+    named = kept.select(F.col("place.id").alias("_id"), F.col("place.text").alias("_text"), F.col("place.row").alias("_row"))
+    met = source.join(named, ["_text", "_row"])
+    # a text has one component, so these keys are those of the join and the texts move once
+    return met.where(own.eqNullSafe(F.col("_id"))).dropDuplicates(["_text", "_row"]).select(*columns)
 
 
 def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
