@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismark.llm import decontamination, language, lines, lm_score, oracle, packing, passages, simhash, substring, topk, toxicity
+from seismark.llm import (
+    decontamination, divergence, language, licenses, lines, lm_score, oracle, packing, passages, ranked, simhash, substring,
+    topk, toxicity,
+)
 from seismark.llm._ship import ship_package
 from seismark.workload.registry import table
 
@@ -85,3 +88,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(oracle.RANKED)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(oracle.DIVERGENCE)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
