@@ -5,7 +5,7 @@ Three readers for the same layer, chosen by how the documents are stored:
 * ``read_landing_geojson``: one document per file. A file is one task, so it scales with the
   number of files.
 * ``read_landing_text``: one document per line. Files split between lines.
-* ``read_landing_split``: one document per file, split *inside* the document, for a feed whose
+* ``split.read_landing_split``: one document per file, split *inside* the document, for a feed whose
   single document is too large for a task.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seismark.schema import CORRUPT, RAW_DOCUMENT, RAW_FEATURE, document_schema
+from seismark.schema import CORRUPT, RAW_DOCUMENT
 
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -24,13 +24,14 @@ def read_landing_geojson(
     spark: SparkSession, path: str, schema: T.StructType = RAW_DOCUMENT, streaming: bool = False,
     **options,
 ) -> DataFrame:
-    """One row per landed file: its features, and the text of a document that did not parse."""
+    """One row per landed file: its features, and the text of a document that did not parse.
+
+    The file is read as one text and parsed from memory. The multi-line form of the JSON source
+    would fetch the text of each number from the file again, by its position.
+    """
     reader = spark.readStream if streaming else spark.read
-    return (
-        reader.schema(schema)
-        .options(multiLine=True, recursiveFileLookup=True, **_PERMISSIVE, **options)
-        .json(path)
-    )
+    texts = reader.options(recursiveFileLookup=True, **options).text(path, wholetext=True)
+    return parse_documents(texts.filter(~F.col("value").rlike(r"^\s*$")), "value", schema)
 
 
 def read_landing_text(
@@ -51,59 +52,6 @@ def parse_documents(
     return df.select(parsed.alias("document")).select("document.*")
 
 
-def read_landing_split(
-    spark: SparkSession,
-    path: str,
-    marker: str = '{"type": "Feature", ',
-    feature: T.DataType = RAW_FEATURE,
-) -> DataFrame:
-    """Read large documents in pieces, cutting the text in front of every ``marker``.
-
-    The marker is the opening of a feature as the landing job serialises it: ``{``, a complete
-    first member, and the comma behind it. A quote inside a JSON string is escaped, so the marker
-    cannot occur inside a value. Each piece is parsed as an array of features, which keeps
-    features that follow without the marker. A file without any marker is one piece and is parsed
-    as a whole document.
-
-    Same columns as the other readers, one row per piece. A broken document keeps its complete
-    features here, and its unreadable piece shows in ``_corrupt_record``; ``source_file`` tells
-    which file it came from.
-    """
-    if not (marker.startswith('{"') and marker.rstrip().endswith(",")):
-        raise ValueError("marker must hold an opening brace, one whole member and its comma")
-    pieces = (
-        spark.read.options(lineSep=marker, recursiveFileLookup=True)
-        .text(path)
-        .select("value", F.col("_metadata.file_path").alias("source_file"))
-        .filter(F.trim("value") != "")
-    )
-    is_feature = ~F.col("value").rlike(r"^\s*\{")
-    trimmed = F.rtrim("value")
-    # The plain blank is the usual end of a piece; only other ends pay for the pattern.
-    closed = F.when(
-        trimmed.endswith(","),
-        F.concat(F.left(trimmed, F.length(trimmed) - F.lit(1)), F.lit("]")),
-    ).otherwise(F.regexp_replace("value", r",\s*$", "]"))
-    array_text = F.concat(F.lit("[" + marker), closed)
-    return (
-        pieces.withColumn("_array", F.when(is_feature, array_text))
-        .withColumn("_features", F.from_json("_array", T.ArrayType(feature)))
-        .withColumn(
-            "_document",
-            F.when(~is_feature, F.from_json("value", document_schema(feature), _PERMISSIVE)),
-        )
-        # The text in front of the first marker ends inside the features array.
-        .withColumn("_is_head", ~is_feature & F.col("value").rlike(r'"features"\s*:\s*\[\s*$'))
-        .select(
-            F.coalesce("_features", "_document.features").alias("features"),
-            F.when(is_feature & F.col("_features").isNull(), F.col("value"))
-            .when(~F.col("_is_head"), F.col(f"_document.{CORRUPT}"))
-            .alias(CORRUPT),
-            "source_file",
-        )
-    )
-
-
 def explode_features(documents: DataFrame) -> DataFrame:
     """One row per feature; a document with a missing, null or empty list gives none.
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 EVENTS_PER_DOCUMENT = 500
 
 
-def feature_texts(events: DataFrame) -> DataFrame:
-    """(event_id, ts, feature JSON) per event."""
+def feature_texts(events: DataFrame, blank: str = " ") -> DataFrame:
+    """(event_id, ts, feature JSON) per event, with ``blank`` behind the tokens of its outer level."""
     value, kind = F.col("value"), F.col("event_type")
     key_number = F.get_json_object("props", "$.k").cast("int")
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
@@ -51,31 +51,45 @@ def feature_texts(events: DataFrame) -> DataFrame:
         F.to_json(F.struct(F.lit("Point").alias("type"), coordinates.alias("coordinates")))
     )
     feature = F.concat(
-        F.lit('{"type": "Feature", "properties": '), properties,
-        F.lit(', "geometry": '), geometry,
-        F.lit(', "id": "'), F.col("event_id").cast("string"), F.lit('"}'),
+        F.lit(f'{{"type":{blank}"Feature",{blank}"properties":{blank}'), properties,
+        F.lit(f',{blank}"geometry":{blank}'), geometry,
+        F.lit(f',{blank}"id":{blank}"'), F.col("event_id").cast("string"), F.lit('"}'),
     )
     return events.select("event_id", "ts", feature.alias("feature"))
 
 
-def feed_documents(events: DataFrame) -> DataFrame:
+def feed_documents(events: DataFrame, blank: str = " ") -> DataFrame:
     """Documents of at most 500 features: event_id is unique, so no group can grow beyond that."""
     return (
-        feature_texts(events)
+        feature_texts(events, blank)
         .groupBy(F.floor(F.col("event_id") / EVENTS_PER_DOCUMENT).alias("chunk"))
         .agg(F.collect_list("feature").alias("features"))
         .select(
             F.concat(
-                F.lit('{"type": "FeatureCollection", "metadata": {"count": '),
+                F.lit(f'{{"type":{blank}"FeatureCollection",{blank}"metadata":{blank}{{"count":{blank}'),
                 F.size("features").cast("string"),
-                F.lit('}, "features": ['),
-                F.array_join("features", ", "),
+                F.lit(f'}},{blank}"features":{blank}['),
+                F.array_join("features", f",{blank}"),
                 F.lit("]}"),
-            ).alias("document")
+            ).alias("document"),
+            "chunk",
         )
     )
 
 
+def cut_documents(events: DataFrame) -> DataFrame:
+    """The documents, every third one cut off at a place of its own: inside a value, behind a
+    feature's comma, behind the last feature, at an opening brace."""
+    text, cut = F.col("document"), F.col("chunk") % 3 == 1
+    behind = lambda mark: F.left(text, F.length(text) - F.instr(F.reverse(text), F.lit(mark)) + F.lit(1))
+    places = [F.left(text, F.floor(F.length(text) / 2).cast("int")), behind(","), F.left(text, F.length(text) - 2), behind("{")]
+    which = F.pmod(F.floor(F.col("chunk") / 3), F.lit(len(places)))
+    found = text
+    for i, place in enumerate(places):
+        found = F.when(cut & (which == i), place).otherwise(found)
+    return feed_documents(events).select(found.alias("document"))
+
+
 def mistyped_documents(events: DataFrame) -> DataFrame:
     """One document per event whose values come as other JSON types; of three magnitudes one is a
     number, one is text that holds a number, and one does not convert."""

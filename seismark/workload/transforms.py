@@ -25,10 +25,11 @@ from seismark.sinks.files import write_landing_json
 from seismark.sources.documents import (
     parse_documents,
     read_landing_geojson,
-    read_landing_split,
     read_landing_text,
+    split_documents,
 )
-from seismark.workload.feed import curated_sql, feed_documents, mistyped_documents
+from seismark.sources.split import read_landing_split
+from seismark.workload.feed import curated_sql, cut_documents, feed_documents, mistyped_documents
 from seismark.workload.registry import query, table
 
 _BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
@@ -154,6 +155,27 @@ def geojson_split_curated(spark, sf):
     return curate(read_landing_split(spark, landed)).drop("ingestion_dt")
 
 
+@query(curated_sql(keep_nulls=False))
+def geojson_split_minified(spark, sf):
+    """The same without a blank between tokens, on one line."""
+    path = work_folder(spark, "landing")
+    write_landing_json(feed_documents(table(spark, sf, "events"), blank=""), path, one_per_file=True)
+    return curate(read_landing_split(spark, path)).drop("ingestion_dt")
+
+
+@query(
+    "SELECT ',' || event_id::VARCHAR || ',' AS ids, false AS broken FROM events WHERE (event_id // 500) % 3 <> 1 "
+    "UNION ALL SELECT NULL, true FROM (SELECT DISTINCT event_id // 500 AS chunk FROM events) WHERE chunk % 3 = 1"
+)
+def geojson_split_truncated(spark, sf):
+    """Every third document is cut off somewhere: it gives no row and is reported once."""
+    path = work_folder(spark, "landing")
+    write_landing_json(cut_documents(table(spark, sf, "events")), path, one_per_file=True)
+    documents = read_landing_split(spark, path)
+    rows = curate(documents).select("ids", F.lit(False).alias("broken"))
+    return rows.unionAll(split_documents(documents)[1].select(F.lit(None).cast("string").alias("ids"), F.lit(True).alias("broken")))
+
+
 @query(
     "SELECT value::DOUBLE AS mag, date_trunc('millisecond', ts) AS \"time\", 1::INTEGER AS tsunami, "
     "7::INTEGER AS felt, event_id::VARCHAR AS ids, value::DOUBLE AS longitude, 3.5::DOUBLE AS depth "

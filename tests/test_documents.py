@@ -30,10 +30,10 @@ from seismark.schema import (
 from seismark.sources.documents import (
     explode_features,
     read_landing_geojson,
-    read_landing_split,
     read_landing_text,
     split_documents,
 )
+from seismark.sources.split import Shape, Summary, quotes_of, read_landing_split, shape_of
 
 NOW = dt.datetime(2024, 11, 2)
 
@@ -248,43 +248,113 @@ def test_text_lines_skip_blank_lines(spark, tmp_path):
 
 
 def _place(i):
-    return f'{i} km {{"type": "Feature", of A, é"'
+    return f'{i} km {{"type": "Feature", [of] A, é"\\\\"'
 
 
-def test_split_reader_equals_whole_documents(spark, tmp_path):
-    """Many small pieces, a marker inside a value, other layouts and empty documents."""
-    many = doc(*[feature(ids=str(i), mag=i / 4, place=_place(i)) for i in range(300)])
-    swapped = doc(feature(ids="a"), {"id": "x", **feature(ids="b")}, feature(ids="c"))
-    path = land(tmp_path / "in", many, swapped, {}, {"features": []}, doc())
-    land(tmp_path / "in" / "pretty", doc(feature(ids="p"), feature(ids="q")), indent=2)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    try:
-        pieces = read_landing_split(spark, path)
-        assert pieces.rdd.getNumPartitions() > 50
-        got = curate(pieces, ingested_at=NOW)
-        want = curate(read_landing_geojson(spark, path), ingested_at=NOW)
-        assert got.count() == 305
-        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-        assert pieces.filter(F.col(CORRUPT).isNotNull()).isEmpty()
-        got = curate(read_landing_split(spark, path, feature=VARIANT_FEATURE), ingested_at=NOW)
-        whole = read_landing_geojson(spark, path, VARIANT_DOCUMENT)
-        want = curate(whole, ingested_at=NOW)
-        assert got.count() == 305
-        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+@pytest.fixture
+def small_ranges(spark):
+    """Files fall into ranges of so many bytes."""
+    names = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": None}
+    before = {name: spark.conf.get(name) for name in names}
 
+    def set_bytes(n):
+        for name, value in names.items():
+            spark.conf.set(name, value or str(n))
 
-def test_split_reader_reports_a_truncated_document(spark, tmp_path):
-    whole = json.dumps(doc(*[feature(ids=str(i)) for i in range(5)]))
-    path = land(tmp_path / "in", whole[: whole.rindex('"geometry"')], '{"features": [{"x"')
-    pieces = read_landing_split(spark, path)
-    assert sorted(r.ids for r in curate(pieces).collect()) == ["0", "1", "2", "3"]
-    broken = pieces.filter(F.col(CORRUPT).isNotNull()).collect()
-    assert len(broken) == 2 and all(r.source_file.endswith(".json") for r in broken)
+    yield set_bytes
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
-def test_split_reader_rejects_an_open_marker(spark, tmp_path):
-    with pytest.raises(ValueError, match="marker"):
-        read_landing_split(spark, str(tmp_path), marker='{"properties": ')
+def test_split_reader_equals_whole_documents(spark, tmp_path, small_ranges):
+    """Many small ranges, brackets and quotes inside values, other layouts and empty documents."""
+    many = doc(*[feature(ids=str(i), mag=i / 4, place=_place(i)) for i in range(60)])
+    swapped = {"bbox": [1, 2], "a": [{"features": [{}]}], **doc(feature(ids="a"), {"id": "x", **feature(ids="b")}), "z": [[]]}
+    path = land(tmp_path / "in", many, swapped, {}, {"features": []}, {"features": None}, doc(), {"features": [None]}, "  ")
+    land(tmp_path / "in" / "pretty", doc(feature(ids="p"), feature(ids="q"), doc(feature())), indent=2)
+    land(tmp_path / "in" / "minified", json.dumps(doc(feature(ids="m"), feature(ids="n")), separators=(",", ":")))
+    small_ranges(600)
+    pieces = read_landing_split(spark, path)
+    got = curate(pieces, ingested_at=NOW)
+    want = curate(read_landing_geojson(spark, path), ingested_at=NOW)
+    assert got.count() == 67
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert pieces.filter(F.col(CORRUPT).isNotNull()).isEmpty()
+    got = curate(read_landing_split(spark, path, feature=VARIANT_FEATURE), ingested_at=NOW)
+    want = curate(read_landing_geojson(spark, path, VARIANT_DOCUMENT), ingested_at=NOW)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("size", [90, 1 << 20])
+def test_split_reader_judges_a_document_cut_at_every_byte(spark, tmp_path, small_ranges, size):
+    one = {"properties": {"ids": 'a"{\\', "place": "é"}, "geometry": None}
+    text = json.dumps({"m": {"n": [1]}, "features": [one, one], "e": []}, ensure_ascii=False, separators=(", ", ":")).encode() + b" \n"
+    (tmp_path / "in").mkdir()
+    for cut in range(len(text) + 1):
+        (tmp_path / "in" / f"{cut:03}.json").write_bytes(text[:cut])
+    small_ranges(size)
+    rows = read_landing_split(spark, str(tmp_path / "in")).collect()
+    ids, broken = {}, []
+    for r in rows:
+        name = r.source_file[-8:-5]
+        if r[CORRUPT] is not None:
+            broken.append(name)
+        ids[name] = ids.get(name, 0) + len(r.features or [])
+    whole = len(text) - 2  # the closing brace
+    assert sorted(broken) == [f"{cut:03}" for cut in range(1, whole)]
+    assert {name: n for name, n in ids.items() if n} == {f"{cut:03}": 2 for cut in range(whole, len(text) + 1)}
+    judged = read_landing_geojson(spark, str(tmp_path / "in"))
+    assert split_documents(judged)[1].count() == len(broken)
+    assert explode_features(judged).count() == sum(ids.values())
+
+
+def test_split_reader_reports_pieces_that_do_not_parse(spark, tmp_path):
+    good = json.dumps(feature(ids="g"))
+    path = land(
+        tmp_path / "in", '{"features": [%s,]}' % good, '{"features": [,%s]}' % good, '{"features": [%s, {"x" 1}]}' % good,
+        '{"features": [3]}', '{"features": [}', "[1]", '{"features": "none"}', '{"features": [%s]' % good,
+    )
+    documents = read_landing_split(spark, path)
+    broken = {r.source_file.rsplit("/", 1)[1] for r in documents.filter(F.col(CORRUPT).isNotNull()).collect()}
+    assert broken == {f"{i}.json" for i in range(8)}
+    assert curate(documents).count() <= 3
+
+
+def test_summaries_combine_like_the_whole_text():
+    """Any cut of any text: the parts' summaries give that of the whole, for both start states."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(5)
+
+    def summary(text):
+        data = np.frombuffer(text, np.uint8)
+        quotes = quotes_of(data)
+        return Summary(bool(len(quotes) % 2), (shape_of(data, quotes, 0), shape_of(data, quotes, 1)))
+
+    for _ in range(300):
+        text = bytes(rnd.choices(b'{}[]{[,"a', k=rnd.randint(0, 14)))
+        cuts = sorted(rnd.choices(range(len(text) + 1), k=2))
+        parts = [text[: cuts[0]], text[cuts[0] : cuts[1]], text[cuts[1] :]]
+        found = Summary()
+        for part in parts:
+            found = found.then(summary(part))
+        assert found == summary(text)
+    assert summary(b'"\\\\\\"" {') == Summary(False, (Shape(0, 1, b"{"), Shape()))
+
+
+def test_whole_file_reader_takes_no_longer_than_the_line_reader(spark, tmp_path):
+    """Parsed from memory: numbers are not fetched from the file again."""
+    import time
+
+    many = doc(*[feature(ids=str(i), **{n: i / 7 for n in ("mag", "cdi", "mmi", "dmin", "rms", "gap")}) for i in range(4000)])
+    path = land(tmp_path / "in", *[many] * 4)
+    seconds = []
+    for read in (read_landing_text, read_landing_geojson):
+        frame = curate(read(spark, path))
+        frame.write.format("noop").mode("overwrite").save()
+        start = time.perf_counter()
+        frame.write.format("noop").mode("overwrite").save()
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 4 * seconds[0] + 0.5
