@@ -32,9 +32,9 @@ def to_json_rows(df: DataFrame, name: str = "value") -> DataFrame:
 
 
 def extract_properties(
-    features: DataFrame, feature: str = "feature", missing: str = "null"
+    features: DataFrame, feature: str = "feature", missing: str = "null", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Lift the properties and the three coordinates to columns.
+    """Lift the properties and the three coordinates to columns, beside the columns to ``keep``.
 
     ``missing="null"`` gives null for an absent geometry or coordinate; ``missing="fail"`` ends
     the job on one.
@@ -54,6 +54,7 @@ def extract_properties(
     return features.select(
         *[F.col(f"{feature}.properties.{f.name}").alias(f.name) for f in PROPERTY_FIELDS],
         *[coordinate(name) for name in COORDINATES],
+        *keep,
     )
 
 
@@ -92,7 +93,9 @@ def _converted(field: Field, source: T.DataType) -> Column:
     return _valid(F.col(field.name).try_cast(FLAT_TYPES[field.kind]), field.kind)
 
 
-def flatten_coerce_default(properties: DataFrame, epoch_as_text: bool = False) -> DataFrame:
+def flatten_coerce_default(
+    properties: DataFrame, epoch_as_text: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """Cast every field to its declared type; missing or null becomes the declared default.
 
     Run ``split_convertible`` first when the values may not convert: here such a value takes the
@@ -106,11 +109,17 @@ def flatten_coerce_default(properties: DataFrame, epoch_as_text: bool = False) -
         as_text = epoch_as_text and field.kind == "epoch_ms"
         return (value.cast("string") if as_text else value).alias(field.name)
 
-    return properties.select(*[flat(f) for f in EVENT_FIELDS])
+    return properties.select(*[flat(f) for f in EVENT_FIELDS], *keep)
 
 
 def split_convertible(properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(convertible, failed): a row fails when a present value does not fit its declared type."""
+    failed = not_convertible(properties)
+    return properties.filter(~failed), properties.filter(failed)
+
+
+def not_convertible(properties: DataFrame) -> Column:
+    """Whether some present value of the row does not fit its declared type."""
     sources = {f.name: properties.schema[f.name].dataType for f in EVENT_FIELDS}
     lost, texts = [], {}
     for f in EVENT_FIELDS:
@@ -123,11 +132,12 @@ def split_convertible(properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     # one test per kind over an array: written out per field the method would be too long to compile
     for kind, leaves in texts.items():
         lost.append(F.exists(F.array(*leaves), _text_does_not_convert(kind)))
-    failed = reduce(lambda a, b: a | b, lost)
-    return properties.filter(~failed), properties.filter(failed)
+    return reduce(lambda a, b: a | b, lost)
 
 
-def flatten_missing_only(features: DataFrame, feature: str = "feature") -> DataFrame:
+def flatten_missing_only(
+    features: DataFrame, feature: str = "feature", keep: Sequence[str] = ()
+) -> DataFrame:
     """Default only where the key is absent; an explicit null stays null.
 
     ``feature`` is read as ``VARIANT_FEATURE``, which tells the two apart. The flag column
@@ -158,7 +168,7 @@ def flatten_missing_only(features: DataFrame, feature: str = "feature") -> DataF
     for kind in ("float", "int", "epoch_ms"):
         failures.append(F.exists(F.array(*leaves[kind]), _loses_its_value(kind)))
     failed = F.coalesce(reduce(lambda a, b: a | b, failures), F.lit(False))
-    return features.select(*columns, failed.alias(FAILED))
+    return features.select(*columns, failed.alias(FAILED), *keep)
 
 
 def _leaf_value(leaf: Column, kind: str) -> Column:

@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from contextlib import AbstractContextManager, nullcontext
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from seismark.plans.curate import curate, flatten
-from seismark.schema import CORRUPT, REQUIRED_COLUMNS, REQUIRED_COLUMNS_SCHEDULED
+from seismark.plans.curate import GOOD, MARKS, OUTCOME, curate_flagged
+from seismark.schema import REQUIRED_COLUMNS, REQUIRED_COLUMNS_SCHEDULED
 from seismark.sinks.audit import AuditLog
-from seismark.sinks.files import dated, write_ndjson, write_parquet_overwrite
-from seismark.sinks.gates import require_rows
-from seismark.sinks.tables import LoadResult, load_ndjson, load_table, with_row_count
-from seismark.sources.documents import read_landing_geojson, split_documents
+from seismark.sinks.staging import Staged, check, publish, stage
+from seismark.sinks.tables import LoadResult, load_ndjson
+from seismark.sources.documents import read_landing_geojson
 
 Reader = Callable[[SparkSession, str], DataFrame]
 
@@ -25,94 +24,72 @@ def _step(audit: AuditLog | None, name: str, info: str) -> AbstractContextManage
     return nullcontext() if audit is None else audit.step(name, info)
 
 
-def write_curated(
-    documents: DataFrame,
-    write: Callable[[DataFrame], None],
-    load: str,
-    quarantine: str | None = None,
-    ingested_at: dt.datetime | Column | None = None,
-    area: str = "split",
-    time_format: str = "timestamp",
-) -> dict[str, int]:
-    """Curate documents, hand the rows to ``write``, and account for what was lost on the way.
+def load_folder(layer: str, load_id: str) -> str:
+    """A fresh folder for the rows of one attempt of a load."""
+    return f"{layer.rstrip('/')}/load-{load_id}-{uuid.uuid4().hex[:12]}"
 
-    Documents, broken documents, features and rows are counted while the rows are written. Only
-    when some document did not parse or some feature gave no row are these read again, into the
-    folder of this ``load`` below ``quarantine``.
-    """
-    seen = Observation()
-    counted = documents.observe(
-        seen,
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("broken_documents"),
-        F.coalesce(F.sum(F.array_size("features")), F.lit(0)).alias("features"),
-    )
-    rows, written = with_row_count(curate(counted, area, time_format, ingested_at))
-    write(rows)
-    counts = {**seen.get, **written.get}
-    if quarantine is not None and counts["broken_documents"]:
-        broken = split_documents(documents)[1]
-        broken.write.mode("overwrite").parquet(f"{quarantine}/documents/{load}")
-    if quarantine is not None and counts["features"] != counts["rows"]:
-        failed = flatten(documents)[1]
-        failed.write.mode("overwrite").parquet(f"{quarantine}/rows/{load}")
-    return counts
-
-
-def load_landed_day(
-    spark: SparkSession,
-    landing: str,
-    silver: str,
+
+def day_stamp(day: dt.date | str) -> str:
+    return day if isinstance(day, str) else day.strftime("%Y%m%d")
+
+
+def load_documents(
+    documents: DataFrame,
+    layer: str,
     table: str,
-    day: dt.date | str,
-    disposition: str,
-    required: Sequence[str] = REQUIRED_COLUMNS,
-    reader: Reader = read_landing_geojson,
-    quarantine: str | None = None,
-    audit: AuditLog | None = None,
+    load_id: str,
+    replace_all: bool = False,
+    required: Sequence[str] = (),
+    max_lost: int = 0,
+    refuse_empty: bool = False,
+    hold: bool = False,
     ingested_at: dt.datetime | Column | None = None,
-    location: str | None = None,
     area: str = "split",
     time_format: str = "timestamp",
+    audit: AuditLog | None = None,
 ) -> LoadResult:
-    """Curate the landed documents of one day into ``silver`` and load that day into ``table``.
+    """Curate documents and put them into ``table`` as the load ``load_id``.
 
-    The table is loaded from the written Parquet, so the required-column check is a scan of those
-    columns and a failed table load repeats no parsing. ``area`` and ``time_format`` choose the
-    reading of regions and times, as in ``curate``.
+    The documents are read and the rows written once, into a folder of ``layer``; losses and nulls
+    are counted on the way. The table is pointed at the folder only if nothing required is null and
+    no more than ``max_lost`` documents and features were lost; ``hold`` tells that unfinished
+    documents will be looked at again and are not lost.
     """
-    documents, folder = reader(spark, landing), dated(silver, day)
-    with _step(audit, "curate_to_parquet", landing) as step:
-        require_rows(curate(documents))
-        counts = write_curated(
-            documents,
-            lambda rows: write_parquet_overwrite(rows, silver, day, refuse_empty=False),
-            folder.rsplit("/", 1)[1],
-            quarantine,
-            ingested_at,
-            area,
-            time_format,
-        )
+    spark = documents.sparkSession
+    with _step(audit, "curate_to_parquet", load_id) as step:
+        flagged = curate_flagged(documents, area, time_format, ingested_at)
+        staged = stage(flagged, load_folder(layer, load_id), required)
         if step is not None:
-            step.info = f"{landing} {counts}"
+            step.info = (
+                f"{load_id}: {staged.rows} rows, {staged.failed} failed, "
+                f"{staged.broken + staged.unfinished} broken documents"
+            )
+        check(staged, max_lost, refuse_empty, hold)
     with _step(audit, "load_table", table) as step:
-        loaded = load_table(
-            spark.read.parquet(folder), table, disposition, location, required
-        )
+        publish(spark, staged, table, load_id, layer, replace_all)
         if step is not None:
-            step.info = f"{table} {loaded.rows} rows"
-    return loaded
+            step.info = f"{table} {staged.rows} rows"
+    return result_of(staged, table)
+
 
+def result_of(staged: Staged, table: str) -> LoadResult:
+    return LoadResult(table, *staged[2:6], staged.folder)
 
-def historical_load(spark, landing, silver, table, day, **options) -> LoadResult:
-    """Replace the table with the landed history."""
-    return load_landed_day(spark, landing, silver, table, day, "truncate", **options)
+
+def historical_load(
+    spark: SparkSession, landing: str, silver: str, table: str, day: dt.date | str, reader: Reader = read_landing_geojson, **options
+) -> LoadResult:
+    """Replace the table with the landed history; ``options`` as in ``load_documents``."""
+    options = {"required": REQUIRED_COLUMNS, "refuse_empty": True, **options}
+    return load_documents(reader(spark, landing), silver, table, day_stamp(day), replace_all=True, **options)
 
 
-def daily_load(spark, landing, silver, table, day, **options) -> LoadResult:
-    """Append the landed day to the table."""
-    options.setdefault("required", REQUIRED_COLUMNS_SCHEDULED)
-    return load_landed_day(spark, landing, silver, table, day, "append", **options)
+def daily_load(
+    spark: SparkSession, landing: str, silver: str, table: str, day: dt.date | str, reader: Reader = read_landing_geojson, **options
+) -> LoadResult:
+    """Add the landed day to the table; a repeated day takes the place of its own rows."""
+    options = {"required": REQUIRED_COLUMNS_SCHEDULED, **options}
+    return load_documents(reader(spark, landing), silver, table, day_stamp(day), **options)
 
 
 def json_route_load(
@@ -122,17 +99,22 @@ def json_route_load(
     table: str,
     reader: Reader = read_landing_geojson,
     max_bad_records: int = 50,
+    max_lost: int = 0,
     ingested_at: dt.datetime | Column | None = None,
     location: str | None = None,
     area: str = "split",
     time_format: str = "timestamp",
 ) -> LoadResult:
-    """Replace the table by way of newline-delimited JSON, with a budget of unreadable lines."""
-    rows = curate(reader(spark, landing), area, time_format, ingested_at)
-    require_rows(rows)
-    write_ndjson(rows, ndjson)
-    nullable = T.StructType([T.StructField(field.name, field.dataType) for field in rows.schema])
-    return load_ndjson(
-        spark, ndjson, nullable, table, max_bad_records, "truncate", location,
-        required=REQUIRED_COLUMNS,
-    )
+    """Replace the table by way of newline-delimited JSON, with a budget of unreadable lines.
+
+    The lines go to ``outcome=good`` below ``ndjson``, lost records to the partitions beside it, and
+    accepted lines that do not parse to ``_unreadable``.
+    """
+    staged = stage(curate_flagged(reader(spark, landing), area, time_format, ingested_at), ndjson, REQUIRED_COLUMNS, "json")
+    check(staged, max_lost)
+    nullable = T.StructType([f for f in staged.schema if f.name not in MARKS])
+    loaded = load_ndjson(
+        spark, f"{ndjson}/{OUTCOME}={GOOD}", nullable, table, max_bad_records, "truncate", location,
+        quarantine=f"{ndjson}/_unreadable", required=REQUIRED_COLUMNS,
+    )
+    return result_of(staged, table)._replace(rows=loaded.rows)

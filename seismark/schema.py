@@ -59,6 +59,8 @@ FLAT_TYPES = {
 }
 
 CORRUPT = "_corrupt_record"
+#: Columns of a reader that knows the file of each row, and whether its document ends too early.
+SOURCE, UNFINISHED = "source_file", "unfinished"
 
 # Leaves are read as text, whatever their JSON type: the conversion decides what fits a column, and
 # a document is broken only if it does not parse.

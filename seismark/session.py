@@ -21,6 +21,8 @@ def build_session(app_name: str = "seismark", master: str | None = None, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # a write by outcome or day keeps that many files open instead of sorting its rows first
+        .config("spark.sql.maxConcurrentOutputFileWriters", "40")
     )
     if master is not None:
         builder = builder.master(master)
@@ -41,3 +43,10 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise ValueError(f"{CHECKPOINT_DIR} must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="seismark-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder, in whatever store it lies."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

@@ -23,6 +23,10 @@ class BadRecordBudgetExceeded(ValueError):
     """More unreadable records than the load accepts."""
 
 
+class LossesExceeded(ValueError):
+    """More documents did not parse, or features did not convert, than the load accepts."""
+
+
 def require_rows(df: DataFrame) -> None:
     if df.isEmpty():
         raise EmptyInput("refusing to overwrite with an empty input")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seismark.schema import CORRUPT
-from seismark.session import work_folder
+from seismark.session import remove_folder, work_folder
 from seismark.sinks.gates import (
     BadRecordBudgetExceeded,
     require_rows,
@@ -22,18 +22,25 @@ from seismark.sources.documents import read_landing_text
 
 
 class LoadResult(NamedTuple):
+    """Rows loaded, and what was not on the way: features that did not convert, documents that did
+    not parse or end too early, and the folder where these are."""
+
     table: str
     rows: int
+    failed: int = 0
+    broken: int = 0
+    unfinished: int = 0
+    folder: str | None = None
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     """The text as a SQL string literal."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
 
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION {_literal(location)}" if location else ""
+    where = f" LOCATION {literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
@@ -98,7 +105,7 @@ def _point_table_at(spark: SparkSession, table: str, folder: str, exists: bool)
         old = [(f.name, f.dataType) for f in spark.table(table).schema]
         new = [(f.name, f.dataType) for f in spark.read.parquet(folder).schema]
         if old == new:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {literal(folder)}")
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")
@@ -124,15 +131,17 @@ def load_ndjson(
     """
     flagged = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     staged_at = work_folder(spark, "ndjson")
-    read_landing_text(spark, path, flagged).write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-    good, bad = split_bad_records(staged)
-    n_bad = bad.count()
-    if quarantine is not None:
-        bad.write.mode("overwrite").parquet(quarantine)
-    if n_bad > max_bad_records:
-        raise BadRecordBudgetExceeded(f"{n_bad} bad records, {max_bad_records} allowed")
-    return load_table(good, table, disposition, location, required)
+    try:
+        read_landing_text(spark, path, flagged).write.parquet(staged_at)
+        good, bad = split_bad_records(spark.read.parquet(staged_at))
+        n_bad = bad.count()
+        if quarantine is not None:
+            bad.write.mode("overwrite").parquet(quarantine)
+        if n_bad > max_bad_records:
+            raise BadRecordBudgetExceeded(f"{n_bad} bad records, {max_bad_records} allowed")
+        return load_table(good, table, disposition, location, required)
+    finally:
+        remove_folder(spark, staged_at)
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

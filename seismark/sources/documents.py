@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seismark.schema import CORRUPT, RAW_DOCUMENT
+from seismark.schema import CORRUPT, RAW_DOCUMENT, SOURCE, UNFINISHED
 
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -62,6 +62,19 @@ def explode_features(documents: DataFrame) -> DataFrame:
     return exploded.filter(F.col("feature").isNotNull())
 
 
+def explode_entries(documents: DataFrame) -> DataFrame:
+    """(feature, record): one row per feature, and one with the text of each document of which
+    something did not parse. Each document is taken apart once; what the reader tells about its file
+    stays beside."""
+    kind = documents.schema["features"].dataType
+    # the first entry stands for the document itself, the others for its features
+    features = F.concat(F.array(F.lit(None).cast(kind.elementType)), F.coalesce("features", F.array().cast(kind)))
+    entries = F.arrays_zip(features.alias("feature"), F.array(F.col(CORRUPT)).alias("record"))
+    told = [c for c in (SOURCE, UNFINISHED) if c in documents.columns]
+    exploded = documents.select(F.explode_outer(entries).alias("entry"), *told).select("entry.*", *told)
+    return exploded.filter(F.col("feature").isNotNull() | F.col("record").isNotNull())
+
+
 def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable, quarantined). A document is quarantined when any of it did not parse; what
     did parse of it stays among the readable ones, as ``partly_read`` tells."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seismark.schema import CORRUPT, RAW_FEATURE
+from seismark.schema import CORRUPT, RAW_FEATURE, SOURCE, UNFINISHED
 from seismark.session import work_folder
 from seismark.shipping import ship_package
 
@@ -307,7 +307,7 @@ def _written(frame: DataFrame) -> DataFrame:
 
 def _part(spark: SparkSession, pieces: DataFrame, states: DataFrame, feature: T.DataType) -> DataFrame:
     known: States = {}
-    for r in states.toLocalIterator():
+    for r in states.collect():  # at most RANGES_AT_ONCE rows
         known.setdefault(r["source_file"], {})[r["block"]] = (r["inside"], r["depth"], bytes(r["kinds"]), frozenset())
     shared = spark.sparkContext.broadcast(known)
 
@@ -327,7 +327,7 @@ def _part(spark: SparkSession, pieces: DataFrame, states: DataFrame, feature: T.
     runs = judged.where(F.col(CORRUPT).isNull()).select("source_file", F.explode("features").alias("run"))
 
     wanted: dict[str, set[int]] = {}
-    for r in runs.toLocalIterator():
+    for r in runs.collect():  # one row a range, or a few
         wanted.setdefault(r["source_file"], set()).add(r["run"])
     picked = spark.sparkContext.broadcast({file: (known[file], frozenset(own)) for file, own in wanted.items()})
 
@@ -346,15 +346,17 @@ def _part(spark: SparkSession, pieces: DataFrame, states: DataFrame, feature: T.
     )
     joined = joined.join(runs, ["source_file", "run"], "left_semi").select("source_file", _element_text().alias("elements"))
     read = whole.unionByName(joined).withColumn("features", F.from_json("elements", T.ArrayType(feature)))
-    bits = read.select("features", F.when(F.col("features").isNull(), F.col("elements")).alias(CORRUPT), "source_file")
-    broken = judged.where(F.col(CORRUPT).isNotNull()).select(F.lit(None).cast(T.ArrayType(feature)).alias("features"), F.col("frame").alias(CORRUPT), "source_file")
+    bits = read.select("features", F.when(F.col("features").isNull(), F.col("elements")).alias(CORRUPT), SOURCE, F.lit(False).alias(UNFINISHED))
+    none = F.lit(None).cast(T.ArrayType(feature)).alias("features")
+    broken = judged.where(F.col(CORRUPT).isNotNull()).select(none, F.col("frame").alias(CORRUPT), SOURCE, F.lit(True).alias(UNFINISHED))
     return bits.unionByName(broken)
 
 
 def read_landing_split(
     spark: SparkSession, path: str, feature: T.DataType = RAW_FEATURE, streaming: bool = False, **options
 ) -> DataFrame:
-    """Large documents of any layout, read in pieces; the columns of the other readers and the file.
+    """Large documents of any layout, read in pieces; the columns of the other readers, the file, and
+    whether its document is unfinished.
 
     A row holds the features of one piece of a document, or in ``_corrupt_record`` what did not
     parse: a piece whose features are lost, or the frame of a document that is not complete, which

@@ -1,3 +1,3 @@
-from seismark.streaming.incremental import incremental_append
+from seismark.streaming.incremental import incremental_append, incremental_load
 
-__all__ = ["incremental_append"]
+__all__ = ["incremental_append", "incremental_load"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seismark.operators import aggregates as agg
-from seismark.plans.curate import curate
+from seismark.plans.curate import GOOD, RECORD, OUTCOME, curate
 from seismark.plans.loads import daily_load, historical_load, json_route_load
 from seismark.schema import CORRUPT
 from seismark.session import work_folder
@@ -22,7 +22,8 @@ from seismark.sinks.files import (
     write_parquet_overwrite,
     write_parquet_typed,
 )
-from seismark.sinks.gates import required_null_report, split_bad_records, split_required
+from seismark.sinks.gates import MissingRequiredValues, required_null_report, split_bad_records, split_required
+from seismark.sinks.staging import check, lost_records, publish, stage
 from seismark.sinks.tables import ensure_namespace, load_table
 from seismark.sources.documents import read_landing_text
 from seismark.sources.tables import (
@@ -31,8 +32,8 @@ from seismark.sources.tables import (
     read_parquet_glob,
     read_table,
 )
-from seismark.streaming import incremental_append
-from seismark.workload.feed import curated_sql, feed_documents
+from seismark.streaming import incremental_append, incremental_load
+from seismark.workload.feed import curated_sql, feed_documents, mistyped_documents
 from seismark.workload.registry import query, table
 
 NAMESPACE = "seismark_checks"
@@ -150,7 +151,93 @@ def history_then_daily_table(spark, sf):
     name, silver = _fresh_table(spark), work_folder(spark, "silver")
     historical_load(spark, landing, silver, name, "20240101", reader=read_landing_text)
     daily_load(spark, landing, silver, name, "20240102", reader=read_landing_text)
-    return read_table(spark, name).drop("ingestion_dt")
+    return read_table(spark, name).drop("ingestion_dt", "load_id")
+
+
+@query(
+    "SELECT l.load_id, count(*) AS n, count(DISTINCT event_id) AS events FROM events "
+    "CROSS JOIN (VALUES ('20240101'), ('20240102')) l(load_id) GROUP BY l.load_id"
+)
+def daily_load_repeated(spark, sf):
+    """A day that is loaded three times is in the table once."""
+    landing = work_folder(spark, "landing")
+    write_landing_json(feed_documents(table(spark, sf, "events")), landing)
+    name, silver = _fresh_table(spark), work_folder(spark, "silver")
+    historical_load(spark, landing, silver, name, "20240101", reader=read_landing_text)
+    for _ in range(3):
+        daily_load(spark, landing, silver, name, "20240102", reader=read_landing_text)
+    return read_table(spark, name).groupBy("load_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ids").alias("events")
+    )
+
+
+@query(
+    "SELECT ',' || event_id::VARCHAR || ',' AS ids, 'history' AS part FROM events WHERE ts < TIMESTAMP '2024-01-15' "
+    "UNION ALL SELECT ',' || event_id::VARCHAR || ',', 'stream' FROM events WHERE ts >= TIMESTAMP '2024-01-15'"
+)
+def incremental_into_table(spark, sf):
+    """The stream adds its batches to the table that the history load made."""
+    events, middle = table(spark, sf, "events"), F.lit("2024-01-15").cast("timestamp_ntz")
+    history, landing = work_folder(spark, "landing"), work_folder(spark, "landing")
+    name, silver, seen = _fresh_table(spark), work_folder(spark, "silver"), work_folder(spark, "progress")
+    write_landing_json(feed_documents(events.filter(F.col("ts") < middle)), history)
+    historical_load(spark, history, silver, name, "history", reader=read_landing_text)
+    write_landing_json(feed_documents(events.filter(F.col("ts") >= middle)), landing)
+    for _ in range(2):
+        incremental_load(spark, landing, silver, name, seen, reader=read_landing_text)
+    part = F.when(F.col("load_id") == "history", F.col("load_id")).otherwise("stream")
+    return read_table(spark, name).select("ids", part.alias("part"))
+
+
+@query(
+    "SELECT 'good' AS outcome, count(*) AS n FROM events WHERE event_id % 3 <> 2 UNION ALL "
+    "SELECT 'failed', count(*) FROM events WHERE event_id % 3 = 2 UNION ALL "
+    "SELECT 'broken', count(*) FROM events WHERE event_id % 7 = 0"
+)
+def load_loss_counts(spark, sf):
+    """A load that names its tolerance; every outcome is counted in the one pass that writes it."""
+    landing, silver = work_folder(spark, "landing"), work_folder(spark, "silver")
+    events = table(spark, sf, "events")
+    broken = events.filter(F.col("event_id") % 7 == 0).select(F.lit('{"features": [').alias("document"))
+    write_landing_json(mistyped_documents(events).unionAll(broken), landing)
+    found = historical_load(
+        spark, landing, silver, _fresh_table(spark), "20240101", reader=read_landing_text, required=(), max_lost=10**9
+    )
+    written = lost_records(spark, found.folder).groupBy("outcome").agg(agg.row_tally().alias("n"))
+    good = read_table(spark, found.table).agg(agg.row_tally().alias("n")).select(F.lit("good").alias("outcome"), "n")
+    return written.unionByName(good)
+
+
+@query(
+    "SELECT 'failed' AS outcome, event_id::VARCHAR AS ids FROM events WHERE event_id % 3 = 2 UNION ALL "
+    "SELECT 'good', event_id::VARCHAR FROM events WHERE event_id % 3 <> 2"
+)
+def json_route_quarantine(spark, sf):
+    """Features that did not convert lie beside the lines of the others, as JSON."""
+    landing, lines = work_folder(spark, "landing"), work_folder(spark, "ndjson")
+    write_landing_json(mistyped_documents(table(spark, sf, "events")), landing)
+    found = json_route_load(spark, landing, lines, _fresh_table(spark), reader=read_landing_text, max_lost=10**9)
+    lost = lost_records(spark, found.folder, fmt="json")
+    ids = F.get_json_object("record", "$.properties.ids").alias("ids")
+    return lost.select("outcome", ids).unionAll(read_table(spark, found.table).select(F.lit("good"), "ids"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def truncate_refused(spark, sf):
+    """A load with nulls in a required column is written, counted and refused; the table stays."""
+    name, silver = _fresh_table(spark), work_folder(spark, "silver")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    marks = [F.lit(GOOD).alias(OUTCOME), F.lit(None).cast("string").alias(RECORD)]
+    kept = orders.filter(F.col("o_orderstatus") == "F").drop("o_orderstatus")
+    holes = orders.withColumn("o_totalprice", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))).drop("o_orderstatus")
+    for load, rows in (("first", kept), ("second", holes)):
+        staged = stage(rows.select("*", *marks), f"{silver}/{load}", ["o_totalprice"])
+        try:
+            check(staged)
+        except MissingRequiredValues:
+            continue
+        publish(spark, staged, name, load, silver, replace_all=True)
+    return read_table(spark, name).drop("load_id")
 
 
 # --- gates ------------------------------------------------------------------------------------

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seismark.plans.curate import curate
-from seismark.plans.loads import daily_load, historical_load, json_route_load
-from seismark.schema import AUDIT_SCHEMA
+from seismark.plans.curate import curate, curate_flagged
+from seismark.plans.loads import daily_load, historical_load, json_route_load, load_documents
+from seismark.schema import AUDIT_SCHEMA, CURATED_COLUMNS, RAW_DOCUMENT, VARIANT_DOCUMENT
 from seismark.session import work_folder
 from seismark.sinks.audit import AuditLog
 from seismark.sinks.files import (
@@ -24,11 +25,14 @@ from seismark.sinks.files import (
 from seismark.sinks.gates import (
     BadRecordBudgetExceeded,
     EmptyInput,
+    LossesExceeded,
     MissingRequiredValues,
     required_null_report,
 )
+from seismark.sinks.staging import lost_records
 from seismark.sinks.tables import ensure_namespace, load_ndjson, load_table, preview
-from seismark.sources.documents import read_landing_text
+from seismark.sources.documents import parse_documents, read_landing_text
+from seismark.sources.split import read_landing_split
 from seismark.sources.tables import (
     read_parquet,
     read_parquet_glob,
@@ -36,7 +40,7 @@ from seismark.sources.tables import (
     rows_with_schema,
     single_seed_element,
 )
-from seismark.streaming import incremental_append
+from seismark.streaming import incremental_append, incremental_load
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
 
@@ -183,37 +187,86 @@ def test_bad_record_budget(spark, tmp_path, table, bad, passes):
 
 def test_history_and_daily_loads(spark, tmp_path, table):
     history, daily = landed(tmp_path / "h", 1.0, 2.0, broken=1), landed(tmp_path / "d", 3.0)
-    silver, bad = str(tmp_path / "silver"), str(tmp_path / "bad")
+    silver = str(tmp_path / "silver")
     log = AuditLog(spark, str(tmp_path / "audit"), "feed", "run_1")
     first = historical_load(
-        spark, history, silver, table, "20240101", reader=read_landing_text, quarantine=bad,
-        audit=log,
+        spark, history, silver, table, "20240101", reader=read_landing_text, max_lost=1, audit=log
     )
-    second = daily_load(spark, daily, silver, table, "20240102", reader=read_landing_text)
-    assert (first.rows, second.rows) == (2, 1)
+    second = daily_load(spark, daily, silver, table, dt.date(2024, 1, 2), reader=read_landing_text)
+    assert (first.rows, first.broken, second.rows, second.broken) == (2, 1, 1, 0)
     rows = read_table(spark, table).orderBy("mag").collect()
-    assert [(r.mag, r.area) for r in rows] == [(1.0, "P1.0, Q"), (2.0, "P2.0, Q"), (3.0, "P3.0, Q")]
-    assert read_parquet(spark, f"{bad}/documents").count() == 1
+    assert [(r.mag, r.area, r.load_id) for r in rows] == [
+        (1.0, "P1.0, Q", "20240101"), (2.0, "P2.0, Q", "20240101"), (3.0, "P3.0, Q", "20240102"),
+    ]
+    assert content(lost_records(spark, first.folder)) == [("broken", '{"features": [')]
     notes = {r.additional_info for r in log.read().filter("status = 'SUCCESS'").collect()}
-    assert any("'documents': 3, 'broken_documents': 1, 'features': 2" in n for n in notes)
-    assert read_parquet(spark, silver).groupBy("ingest_date").count().count() == 2
+    assert "20240101: 2 rows, 0 failed, 1 broken documents" in notes
     assert content(log.read().select("step_name", "status")) == [
         ("curate_to_parquet", "STARTED"), ("curate_to_parquet", "SUCCESS"),
         ("load_table", "STARTED"), ("load_table", "SUCCESS"),
     ]
+    daily_load(spark, daily, silver, table, "20240102", reader=read_landing_text)
+    assert read_table(spark, table).count() == 3
+    historical_load(spark, daily, silver, table, "20240103", reader=read_landing_text)
+    assert content(read_table(spark, table).select("mag", "load_id")) == [(3.0, "20240103")]
 
 
-def test_features_that_give_no_row_are_quarantined(spark, tmp_path, table):
-    landing = landed(tmp_path / "h", 1.0)
+def test_losses_stop_a_load_unless_allowed(spark, tmp_path, table):
+    landing = landed(tmp_path / "h", 1.0, broken=1)
     odd = {"features": [{"properties": {"sig": 1e12, "ids": "big"}}]}
     (tmp_path / "h" / "odd.json").write_text(json.dumps(odd))
-    loaded = historical_load(
-        spark, landing, str(tmp_path / "s"), table, "20240101", reader=read_landing_text,
-        quarantine=str(tmp_path / "bad"),
-    )
-    assert loaded.rows == 1
-    assert [r.ids for r in read_parquet(spark, str(tmp_path / "bad" / "rows")).collect()] == ["big"]
-    assert not (tmp_path / "bad" / "documents").exists()
+    silver = str(tmp_path / "s")
+    with pytest.raises(LossesExceeded, match="1 documents did not parse and 1 features did not"):
+        historical_load(spark, landing, silver, table, "20240101", reader=read_landing_text, max_lost=1)
+    assert not spark.catalog.tableExists(table)
+    found = historical_load(spark, landing, silver, table, "20240101", reader=read_landing_text, max_lost=2)
+    assert found[1:5] == (1, 1, 1, 0) and read_table(spark, table).count() == 1
+    lost = {r.outcome: r.record for r in lost_records(spark, found.folder).collect()}
+    assert lost["broken"] == '{"features": [' and json.loads(lost["failed"])["properties"]["ids"] == "big"
+    with pytest.raises(LossesExceeded):
+        json_route_load(spark, landing, str(tmp_path / "n"), table, reader=read_landing_text)
+
+
+def test_nulls_in_required_columns_leave_the_table(spark, tmp_path, table):
+    silver = str(tmp_path / "s")
+    historical_load(spark, landed(tmp_path / "h", 1.0), silver, table, "20240101", reader=read_landing_text)
+    documents = parse_documents(
+        spark.createDataFrame([('{"features": [{"properties": {"place": "x", "mag": null, "time": 1, "updated": 2}, "geometry": {"coordinates": [1, 2, 3]}}]}',)], "t string"),
+        "t", VARIANT_DOCUMENT,
+    )
+    with pytest.raises(MissingRequiredValues, match="'mag': 1"):
+        load_documents(documents, silver, table, "20240102", required=["mag", "place"])
+    assert content(read_table(spark, table).select("load_id")) == [("20240101",)]
+
+
+def test_a_load_reads_its_landing_once(spark, tmp_path, table):
+    """Each document is parsed once: an accumulator in the reader counts them."""
+    seen = spark.sparkContext.accumulator(0)
+    landing = landed(tmp_path / "h", 1.0, 2.0, 3.0, broken=2)
+
+    def counted(spark, path):
+        texts = spark.read.text(path)
+
+        def look(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return parse_documents(texts.mapInArrow(look, "value string"), "value")
+
+    found = historical_load(spark, landing, str(tmp_path / "s"), table, "20240101", reader=counted, max_lost=2)
+    assert (found.rows, found.broken, seen.value) == (3, 2, 5)
+
+
+def test_flagged_curation_is_one_pass(spark, tmp_path, capsys):
+    landed(tmp_path / "h", 1.0)
+    for schema in (RAW_DOCUMENT, VARIANT_DOCUMENT):
+        flagged = curate_flagged(read_landing_text(spark, str(tmp_path / "h"), schema))
+        flagged.explain("codegen")
+        text = capsys.readouterr().out
+        assert "Exchange" not in text
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000
 
 
 def test_empty_appends_are_counted_as_zero(spark, table):
@@ -231,7 +284,7 @@ def test_history_with_no_document_leaves_the_table(spark, tmp_path, table):
     with pytest.raises(EmptyInput):
         historical_load(
             spark, landed(tmp_path / "e", broken=1), silver, table, "20240102",
-            reader=read_landing_text, audit=log,
+            reader=read_landing_text, audit=log, max_lost=1,
         )
     assert read_table(spark, table).count() == 1
     failure = log.read().filter("status = 'FAILURE'").first()
@@ -315,16 +368,58 @@ def test_a_batch_repeated_after_a_crash_adds_no_rows(spark, tmp_path, monkeypatc
     assert content(read_parquet(spark, target).select("mag")) == [(1.0,), (2.0,), (3.0,)]
 
 
-def test_incremental_run_quarantines_by_batch(spark, tmp_path):
-    landing, target, seen, bad = (str(tmp_path / n) for n in ("landing", "target", "seen", "bad"))
+def test_incremental_run_stops_at_losses(spark, tmp_path):
+    landing, target, seen = (str(tmp_path / n) for n in ("landing", "target", "seen"))
     landed(tmp_path / "landing", 1.0, broken=2)
-    incremental_append(spark, landing, target, seen, reader=read_landing_text, quarantine=bad)
+    with pytest.raises(Exception, match="2 documents did not parse"):
+        incremental_append(spark, landing, target, seen, reader=read_landing_text, max_lost=1)
+    assert not list((tmp_path / "target").glob("load_id=*"))
+    incremental_append(spark, landing, target, seen, reader=read_landing_text, max_lost=2)
     landed(tmp_path / "landing", 2.0)
-    incremental_append(spark, landing, target, seen, reader=read_landing_text, quarantine=bad)
+    incremental_append(spark, landing, target, seen, reader=read_landing_text)
     assert content(read_parquet(spark, target).select("mag")) == [(1.0,), (2.0,)]
-    broken = read_parquet(spark, f"{bad}/documents")
-    assert content(broken) == [('{"features": [', False, "stream-00000000")] * 2
-    assert not (tmp_path / "bad" / "rows").exists()
+
+
+def test_a_batch_repeated_between_publishing_and_checkpoint(spark, tmp_path, table, monkeypatch):
+    """The first attempt dies after the table got its rows and before the batch is committed."""
+    from seismark.streaming import incremental
+
+    landing, silver, seen = (str(tmp_path / n) for n in ("landing", "silver", "checkpoint"))
+    historical_load(spark, landed(tmp_path / "h", 9.0), silver, table, "20240101", reader=read_landing_text)
+    landed(tmp_path / "landing", 1.0, 2.0)
+
+    def load_then_die(*args, **options):
+        load_documents(*args, **options)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "load_documents", load_then_die)
+        with pytest.raises(Exception, match="driver lost"):
+            incremental_load(spark, landing, silver, table, seen, reader=read_landing_text)
+    assert content(read_table(spark, table).select("mag")) == [(1.0,), (2.0,), (9.0,)]
+    landed(tmp_path / "landing", 3.0)
+    for _ in range(2):
+        incremental_load(spark, landing, silver, table, seen, reader=read_landing_text)
+    assert content(read_table(spark, table).select("mag")) == [(1.0,), (2.0,), (3.0,), (9.0,)]
+
+
+def test_a_file_landed_in_two_halves_gives_its_rows_once(spark, tmp_path, table):
+    landing, silver, seen = tmp_path / "landing", str(tmp_path / "silver"), str(tmp_path / "checkpoint")
+    landed(landing, 1.0)
+    parts = [json.loads(next(landing.glob("*.json")).read_text())["features"][0] for _ in range(3)]
+    text = json.dumps({"features": parts})
+    half = landing / "late.json"
+    half.write_text(text[: len(text) // 2])
+
+    def run():
+        incremental_load(spark, str(landing), silver, table, seen, reader=read_landing_split)
+        return read_table(spark, table).count()
+
+    assert run() == 1
+    assert run() == 1
+    half.write_text(text)
+    assert run() == 4
+    assert run() == 4
 
 
 def test_incremental_run_with_whole_file_documents(spark, tmp_path):
@@ -370,7 +465,7 @@ def test_loads_choose_area_and_time_reading(spark, tmp_path, table, route):
     else:
         json_route_load(spark, str(tmp_path / "in"), str(tmp_path / "n"), table, **options)
     loaded = spark.table(table)
-    assert len(loaded.columns) == 31
+    assert loaded.drop("load_id").columns == CURATED_COLUMNS
     assert dict(loaded.dtypes)["time"] == dict(loaded.dtypes)["updated"] == "string"
     assert loaded.select(F.length("time"), F.trim("area")).first() == (19, "P1.5, Q")
 
