@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 SECONDS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# The years 1 to 9999. Adding an epoch far outside would end the job on one bad row.
-EPOCH_MS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
+# What 64 bits of microseconds hold. Adding an epoch outside would end the job on one bad row.
+EPOCH_MS_RANGE = (-(2**63) // 1000 + 1, (2**63 - 1) // 1000 - 1)
 
 
 def epoch_ms_to_string(ms: Column, fmt: str = SECONDS_FORMAT) -> Column:
@@ -17,8 +17,8 @@ def epoch_ms_to_string(ms: Column, fmt: str = SECONDS_FORMAT) -> Column:
 
 
 def epoch_ms_to_timestamp(ms: Column) -> Column:
-    """UTC wall-clock timestamp with milliseconds, whatever the session time zone is; null outside
-    the years 1 to 9999."""
+    """UTC wall-clock timestamp with milliseconds, whatever the session time zone is; null for what a
+    timestamp cannot hold."""
     return F.timestamp_add(
         "MILLISECOND",
         valid_epoch_ms(ms.try_cast("bigint")),

@@ -8,12 +8,18 @@ per input row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from fractions import Fraction
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seismark.functions.text import state_suffix
 from seismark.functions.times import event_date
 from seismark.operators.filters import value_gt
+from seismark.shipping import ship_package
 
 _DAY_CODE = "_day_code"
 _LOW_BITS = 20
@@ -47,6 +53,65 @@ def mean(value: str, exact_scale: int | None = None) -> Column:
     return F.when(F.count(value) > 0, total / F.count(value))
 
 
+_EXPONENT, _HALF = "_exponent", 28
+_EXACT_BINS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("exponent", "high", "low")]))
+
+
+def exact_means(df: DataFrame, keys: Sequence[str], value: str, out: str = "avg_value") -> DataFrame:
+    """The exact mean of doubles of any size, rounded once: the same for any order of the rows and
+    after any retry, without a scale.
+
+    A double is a whole number times a power of two. The whole numbers are summed by that power, in
+    two halves that have room for 2**35 rows, with partial sums before the shuffle; what is left, some
+    dozens of numbers a group, is added as fractions. NaN and infinities are summed beside them.
+    """
+    ship_package(df.sparkSession)
+    term = F.col(value).cast("double")
+    finite = ~F.isnan(term) & (F.abs(term) < float("inf"))
+    power = F.when(finite & (term != 0), F.floor(F.log2(F.abs(term))))  # may be one off, which whole keeps room for
+    shift = F.lit(54) - F.col(_EXPONENT)
+    first = F.floor(shift / 2)
+    whole = (F.col("_term") * F.pow(F.lit(2.0), first) * F.pow(F.lit(2.0), shift - first)).cast("bigint")
+    split = df.select(*keys, term.alias("_term"), power.cast("bigint").alias(_EXPONENT), F.when(~finite, term).alias("_other"))
+    bins = split.groupBy(*keys, _EXPONENT).agg(
+        F.sum(F.shiftright(whole, _HALF)).alias("high"), F.sum(whole.bitwiseAND(F.lit((1 << _HALF) - 1))).alias("low"),
+        F.count("_term").alias("_n"), F.sum("_other").alias("_other"),
+    )
+    held = F.when(F.col(_EXPONENT).isNotNull(), F.struct(F.col(_EXPONENT).alias("exponent"), "high", "low"))
+    grouped = bins.groupBy(*keys).agg(
+        F.collect_list(held).cast(_EXACT_BINS).alias("_bins"), F.sum("_n").alias("_n"), F.sum("_other").alias("_other")
+    )
+    added = F.pandas_udf(_exact_quotients, "double")
+    exact = F.when(F.col("_n") > 0, added("_bins", "_n"))
+    return grouped.select(*keys, F.when(F.col("_other").isNotNull(), F.col("_other")).otherwise(exact).alias(out))
+
+
+def _exact_quotients(bins: pd.Series, n: pd.Series) -> pd.Series:
+    means = []
+    for own, count in zip(bins, n, strict=True):
+        total = sum(((int(b["high"]) << _HALF) + int(b["low"])) * Fraction(2) ** (int(b["exponent"]) - 54) for b in own)
+        means.append(float(Fraction(total) / int(count)) if count else 0.0)
+    return pd.Series(means, dtype="float64")
+
+
+def question_sets(df: DataFrame, region: str = "area", value: str = "mag", time: str = "time") -> DataFrame:
+    """Counts, means and peaks of all groupings the questions ask for, from one scan and one shuffle.
+
+    ``grouping`` tells which keys a row is grouped by: a bit each for region (4), date (2) and
+    month-day (1) that is set when the key is not used.
+    """
+    time_keys = df.select(
+        F.col(region).alias("region"), event_date(F.col(time)).alias("date"),
+        (F.month(time) * 100 + F.dayofmonth(time)).alias("month_day"), F.col(value).alias("value"),
+    )
+    r, d, m = (F.col(c) for c in ("region", "date", "month_day"))
+    sets = [[], [r], [d], [m], [d, r], [r, m]]
+    return time_keys.groupingSets(sets, r, d, m).agg(
+        F.grouping_id("region", "date", "month_day").alias("grouping"), row_tally().alias("n"),
+        F.avg("value").alias("avg_value"), F.max("value").alias("max_value"),
+    )
+
+
 def _state(region: str, separator: str) -> Column:
     return state_suffix(F.col(region), separator).alias("state")
 

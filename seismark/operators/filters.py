@@ -36,6 +36,15 @@ def last_days_rolling(
     return df.filter(F.col(time) >= start)
 
 
+def last_days_clustered(
+    df: DataFrame, time: str = "time", day: str = "event_date", days: int = 7, as_of: AsOf = None
+) -> DataFrame:
+    """``last_days_rolling`` on a layer with a folder per day: the days before are not listed."""
+    kind, span = df.schema[time].dataType, F.make_dt_interval(F.lit(days))
+    first = _start(as_of, F.current_timestamp(), lambda moment: (moment.cast(kind) - span).cast("date"))
+    return last_days_rolling(df.filter(F.col(day) >= first), time, days, as_of)
+
+
 def last_days_calendar(
     df: DataFrame, date: str = "date", days: int = 7, as_of: AsOf = None
 ) -> DataFrame:

@@ -79,8 +79,14 @@ def _from_text(value: Column, kind: str) -> Column:
     return _valid(F.coalesce(value.try_cast("long"), number.try_cast("long")), kind)
 
 
+# Fixed value: a number, also as text; the number syntax of the JVM takes more, as ``4.5d`` or ``0x1p3``.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def _text_does_not_convert(kind: str) -> Callable[[Column], Column]:
-    return lambda value: value.isNotNull() & _from_text(value, kind).isNull()
+    return lambda value: value.isNotNull() & (
+        _from_text(value, kind).isNull() | ~(value.rlike(NUMBER) | value.isin("true", "false"))
+    )
 
 
 def _flag(value: Column) -> Column:

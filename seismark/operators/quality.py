@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seismark.operators.sorting import top_k_by_key
+from seismark.operators.sorting import top_k_by_key, with_position
 
 _E, _A = "expected_copies", "actual_copies"
 
@@ -129,3 +129,45 @@ def _cell(name: str) -> Column:
             after.cast("string").alias("actual"),
         ),
     )
+
+
+def positional_match(
+    expected: DataFrame, actual: DataFrame, key: str, columns: Sequence[str]
+) -> DataFrame:
+    """Cell differences of two tables laid side by side in the order of the key.
+
+    Row ``n`` of one side is compared with row ``n`` of the other, also under repeated keys, whose rows
+    are ordered by the columns. A side that has more rows gives one ``missing`` (of the expected
+    side) or ``surplus`` row for each that has no partner.
+    """
+    cells = [c for c in columns if c != key]
+    order = [key, *cells]
+    sides = []
+    for df, name in ((expected, "_e"), (actual, "_a")):
+        placed = with_position(df.select(*order), *order)
+        sides.append(placed.select("position", F.struct(*order).alias(name)))
+    paired = sides[0].join(sides[1], "position", "full")
+    issue = F.when(F.col("_a").isNull(), "missing").when(F.col("_e").isNull(), "surplus").otherwise("cell")
+    differing = F.array_compact(F.array(*[_cell(c) for c in order]))
+    whole = F.array(F.struct(*[F.lit(None).cast("string").alias(n) for n in ("column_name", "expected", "actual")]))
+    return (
+        paired.withColumn("issue", issue)
+        .withColumn("_cell", F.explode(F.when(F.col("issue") == "cell", differing).otherwise(whole)))
+        .select("position", "_cell.*", "issue")
+    )
+
+
+def bottom_k_sample_match(
+    expected: DataFrame, actual: DataFrame, key: str, columns: Sequence[str], n: int = 100, salt: str = ""
+) -> DataFrame:
+    """Differences between the rows of ``n`` keys drawn at random, the same keys on both sides.
+
+    The keys with the smallest salted hashes are taken, of those found on either side: a sample that
+    does not depend on the order of the rows or their partitions, and that another salt draws anew.
+    """
+    order = [key, *[c for c in columns if c != key]]
+    hashed = F.md5(F.concat_ws("|", F.lit(salt), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    both = expected.select(hashed.alias("h")).unionAll(actual.select(hashed.alias("h")))
+    drawn = both.distinct().orderBy("h").limit(n).agg(F.max("h"))
+    sides = [df.select(*order).filter(hashed <= drawn.scalar()) for df in (expected, actual)]
+    return row_differences(*sides, order)

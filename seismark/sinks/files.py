@@ -13,6 +13,7 @@ from seismark.sinks.gates import require_rows
 
 INGEST_DATE = "ingest_date"
 LOAD_ID = "load_id"
+EVENT_DATE = "event_date"
 
 
 def dated(path: str, day: dt.date | str) -> str:
@@ -23,9 +24,10 @@ def dated(path: str, day: dt.date | str) -> str:
 
 def write_landing_json(
     documents: DataFrame, path: str, document: str = "document", one_per_file: bool = False,
-    mode: str = "overwrite",
+    mode: str = "overwrite", day: dt.date | str | None = None,
 ) -> None:
-    """Land raw documents: one per line, or one per file with its text unchanged.
+    """Land raw documents: one per line, or one per file with its text unchanged; with ``day`` in the
+    folder of that day below ``path``.
 
     In the line form a line break between JSON tokens becomes a blank; inside a JSON string it is
     always escaped, so no value changes.
@@ -34,7 +36,8 @@ def write_landing_json(
     writer_options = {"maxRecordsPerFile": 1} if one_per_file else {}
     if not one_per_file:
         text = F.translate(text, "\r\n", "  ")
-    documents.select(text.alias("value")).write.mode(mode).options(**writer_options).text(path)
+    folder = path if day is None else dated(path, day)
+    documents.select(text.alias("value")).write.mode(mode).options(**writer_options).text(folder)
 
 
 def write_parquet_overwrite(
@@ -62,6 +65,23 @@ def write_parquet_overwrite(
     )
 
 
+def rebalanced(df: DataFrame) -> DataFrame:
+    """The rows in partitions of about the advisory size, for a write that makes few files: small
+    partitions are put together and large ones divided, from their real sizes."""
+    return df.hint("rebalance")
+
+
+def write_clustered(df: DataFrame, path: str, time: str = "time", files: int | None = None) -> None:
+    """Overwrite a layer that is laid out by time: a folder per day, and in each file a range of
+    times in order, so that a window of time opens few folders and few row groups of these.
+
+    Rows are dealt by ranges of time, so a day that holds a third of them gets a third of the tasks.
+    """
+    dealt = df.withColumn(EVENT_DATE, F.to_date(time))
+    dealt = dealt.repartitionByRange(time) if files is None else dealt.repartitionByRange(files, time)
+    dealt.sortWithinPartitions(EVENT_DATE, time).write.mode("overwrite").partitionBy(EVENT_DATE).parquet(path)
+
+
 def append_load(df: DataFrame, path: str, load_id: str) -> None:
     """Append one load as its own partition. Repeating a load replaces its own rows when the job
     commits and nothing else, so a retry adds no second copy."""

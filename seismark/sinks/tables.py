@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from seismark.schema import CORRUPT
 from seismark.session import remove_folder, work_folder
+from seismark.sinks.files import rebalanced
 from seismark.sinks.gates import (
     BadRecordBudgetExceeded,
     require_rows,
@@ -61,8 +62,10 @@ def load_table(
     location: str | None = None,
     required: Sequence[str] = (),
     refuse_empty: bool = True,
+    rebalance: bool = False,
 ) -> LoadResult:
-    """Load a frame into a catalog table, creating the table when it is missing.
+    """Load a frame into a catalog table, creating the table when it is missing. ``rebalance`` costs a
+    shuffle and writes few files of the advisory size instead of one per task.
 
     ``append`` adds the rows as they are: no key, no removal of repeats. ``truncate`` writes a new
     folder and then points the table at it, so readers see the old content or the new, and a job
@@ -77,6 +80,8 @@ def load_table(
     spark = df.sparkSession
     if required:
         require_values(df, required)
+    if rebalance:
+        df = rebalanced(df)
     exists = spark.catalog.tableExists(table)
     if disposition == "append" and exists:
         columns = spark.table(table).columns

@@ -6,28 +6,31 @@ spans several years, and the text after ``-`` in its priority stands for the sta
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from seismark.operators import aggregates as agg
 from seismark.operators import sorting
 from seismark.operators.filters import (
     contains_literal,
     last_days_calendar,
+    last_days_clustered,
     last_days_rolling,
     not_null,
+    peak_rows,
 )
 from seismark.operators.project import select_columns
 from seismark.plans import questions as ask
 from seismark.plans.questions import EventColumns, latest
-from seismark.sources.tables import read_query
+from seismark.session import work_folder
+from seismark.sinks.files import write_clustered
+from seismark.sources.tables import read_parquet, read_query
 from seismark.workload.registry import query, table
 
 EVENTS = EventColumns("event_type", "value", "ts")
 ORDERS = EventColumns("o_orderpriority", "o_totalprice", "o_orderdate")
 CENTS = 2
 
-STATE = (
-    "substr(o_orderpriority, instr(o_orderpriority, '-') + 1, "
-    "length(o_orderpriority) - instr(o_orderpriority, '-'))"
-)
+STATE = "regexp_replace(o_orderpriority, '^[^-]*-', '')"
 MONTH_DAY = "strftime(o_orderdate, '%m-%d')"
 LAST_WEEK = "ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"
 
@@ -278,3 +281,48 @@ def sort_by_string_key(spark, sf):
 @query("SELECT * FROM events ORDER BY value, event_id LIMIT 100")
 def top_k_by_key(spark, sf):
     return sorting.top_k_by_key(table(spark, sf, "events"), "value", "event_id", k=100)
+
+
+# --- means and groupings ----------------------------------------------------------------------
+
+_QUARTERS = "floor(value * 4) / 4 * CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 1048576 ELSE 0.0009765625 END"
+
+
+def _quarters(spark, sf):
+    """Values whose sums are exact in doubles, of very different size by region."""
+    factor = F.when(F.col("event_type") == "view", 1.0).when(F.col("event_type") == "click", 1048576.0).otherwise(0.0009765625)
+    return table(spark, sf, "events").withColumn("value", F.floor(F.col("value") * 4) / 4 * factor)
+
+
+@query(f"SELECT event_type, avg({_QUARTERS})::DOUBLE AS avg_value FROM events GROUP BY event_type")
+def avg_plain_by_region(spark, sf):
+    return agg.avg_by_region(_quarters(spark, sf), "event_type", "value")
+
+
+@query(f"SELECT event_type, avg({_QUARTERS})::DOUBLE AS avg_value FROM events GROUP BY event_type")
+def avg_exact_by_region(spark, sf):
+    return agg.exact_means(_quarters(spark, sf), ["event_type"], "value")
+
+
+@query(
+    "WITH e AS (SELECT event_type AS region, CAST(ts AS DATE) AS date, (month(ts) * 100 + day(ts))::INTEGER AS month_day, "
+    "floor(value * 4) / 4 AS value FROM events) "
+    "SELECT region, date, month_day, grouping(region, date, month_day)::BIGINT AS grouping, count(*) AS n, "
+    "avg(value) AS avg_value, max(value) AS max_value FROM e "
+    "GROUP BY GROUPING SETS ((), (region), (date), (month_day), (date, region), (region, month_day))"
+)
+def all_questions_one_scan(spark, sf):
+    events = table(spark, sf, "events").withColumn("value", F.floor(F.col("value") * 4) / 4)
+    return agg.question_sets(events, "event_type", "value", "ts")
+
+
+@query(
+    f"SELECT * FROM events WHERE {LAST_WEEK} AND value = (SELECT max(value) FROM events WHERE {LAST_WEEK})"
+)
+def peak_last_7d_clustered(spark, sf):
+    """Question 7 on a layer with a folder per day: earlier days are not opened."""
+    path = work_folder(spark, "clustered")
+    write_clustered(table(spark, sf, "events"), path, "ts")
+    events = read_parquet(spark, path)
+    recent = last_days_clustered(events, "ts", "event_date", 7, latest(events, "ts"))
+    return peak_rows(recent, "value").drop("event_date")

@@ -93,13 +93,14 @@ def ndjson_roundtrip(spark, sf):
     return spark.read.schema(events.schema).json(path)
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query(
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS o_orderdate, "
+    "o_orderpriority FROM orders"
+)
 def json_strings_inferred(spark, sf):
-    """JSON rows read back with no declared schema."""
+    """JSON rows read back with no declared schema; a time comes back as its text."""
     path = work_folder(spark, "rows")
-    write_json_rows(
-        table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path
-    )
+    write_json_rows(table(spark, sf, "orders"), path)
     return read_json_strings_inferred(spark, path)
 
 
@@ -114,6 +115,18 @@ def append_twice(spark, sf):
     return read_table(spark, name)
 
 
+@query("SELECT o_orderstatus, count(*) AS n, 2::BIGINT AS files FROM orders GROUP BY o_orderstatus")
+def append_rebalanced(spark, sf):
+    """Loads of many small tasks with the default disposition, an append, make one file each."""
+    name, orders = _fresh_table(spark), table(spark, sf, "orders").repartition(40)
+    first = F.col("o_orderkey") % 2 == 0
+    load_table(orders.filter(first), name, rebalance=True)
+    load_table(orders.filter(~first), name, rebalance=True)
+    loaded = read_table(spark, name)
+    files = loaded.select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).scalar()
+    return loaded.groupBy("o_orderstatus").agg(agg.row_tally().alias("n"), F.first(files).alias("files"))
+
+
 @query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def overwrite_table(spark, sf):
     name, orders = _fresh_table(spark), table(spark, sf, "orders")

@@ -145,3 +145,44 @@ def column_set_match(spark, sf):
 def dtype_match(spark, sf):
     declared: T.StructType = table(spark, sf, "orders").schema
     return quality.dtype_match(_inferred_copy(spark, sf), declared)
+
+
+def _numbered(source: str) -> str:
+    columns = "o_custkey, o_orderstatus, o_orderpriority"
+    return f"SELECT row_number() OVER (ORDER BY {columns}) - 1 AS position, {columns} FROM ({source})"
+
+
+def positions_sql() -> str:
+    cells = " UNION ALL ".join(
+        f"SELECT position, '{c}' AS column_name, CAST(e.{c} AS VARCHAR) AS expected, CAST(a.{c} AS VARCHAR) AS actual, "
+        f"'cell' AS issue FROM e JOIN a USING (position) WHERE e.{c} IS DISTINCT FROM a.{c}"
+        for c in COLUMNS
+    )
+    return f"""
+    WITH e AS ({_numbered(EXPECTED_SQL)}), a AS ({_numbered(CHANGED_SQL)}) {cells}
+    UNION ALL SELECT position, NULL, NULL, NULL, 'missing' FROM e WHERE position NOT IN (SELECT position FROM a)
+    UNION ALL SELECT position, NULL, NULL, NULL, 'surplus' FROM a WHERE position NOT IN (SELECT position FROM e)
+    """
+
+
+@query(positions_sql())
+def cell_positions(spark, sf):
+    """Rows paired by their place in the order of a key that repeats."""
+    return quality.positional_match(*_orders(spark, sf), "o_custkey", COLUMNS)
+
+
+_DRAWN = "md5('2024|' || o_orderkey::VARCHAR)"
+_SAMPLED = f"""SELECT * FROM ({{source}}) WHERE {_DRAWN} <= (SELECT max(h) FROM (
+    SELECT DISTINCT {_DRAWN} AS h FROM (SELECT o_orderkey FROM ({EXPECTED_SQL}) UNION SELECT o_orderkey FROM ({CHANGED_SQL}))
+    ORDER BY h LIMIT 100))"""
+
+
+@query(
+    _MULTISET_DIFFERENCE.format(
+        columns="o_orderkey, o_custkey, o_orderstatus, o_orderpriority",
+        expected=_SAMPLED.format(source=EXPECTED_SQL),
+        actual=_SAMPLED.format(source=CHANGED_SQL),
+    )
+)
+def bottom_k_sample_match(spark, sf):
+    return quality.bottom_k_sample_match(*_orders(spark, sf), "o_orderkey", COLUMNS, 100, "2024")

@@ -17,12 +17,13 @@ from seismark.functions import (
     state_suffix,
 )
 from seismark.functions.text import WHITESPACE
-from seismark.operators.project import to_json_rows
-from seismark.plans.curate import curate, flatten
+from seismark.operators.project import extract_properties, to_json_rows
+from seismark.plans.curate import curate, flatten, with_ingestion_time
 from seismark.schema import VARIANT_DOCUMENT
 from seismark.session import work_folder
 from seismark.sinks.files import write_landing_json
 from seismark.sources.documents import (
+    explode_features,
     parse_documents,
     read_landing_geojson,
     read_landing_text,
@@ -55,8 +56,8 @@ def area_split_texts(spark, sf):
 
 
 @query(
-    "SELECT doc_id, substr(text, instr(text, ',') + 1, length(text) - instr(text, ',')) AS state "
-    "FROM documents"
+    "SELECT doc_id, CASE WHEN contains(text, ',') THEN array_to_string(string_split(text, ',')[2:], ',') "
+    "ELSE text END AS state FROM documents"
 )
 def suffix_after_comma(spark, sf):
     documents = table(spark, sf, "documents")
@@ -109,11 +110,24 @@ def day_keys(spark, sf):
 
 
 @query(
-    "SELECT '{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\"}' AS value "
+    "SELECT '{\"event_id\":' || event_id || ',\"ts\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '\",\"user_id\":' || user_id "
+    "|| ',\"event_type\":\"' || event_type || '\",\"value\":' || value || ',\"props\":' || to_json(props) || '}' AS value "
     "FROM events"
 )
 def json_rows(spark, sf):
-    return to_json_rows(table(spark, sf, "events").select("event_id", "event_type"))
+    return to_json_rows(table(spark, sf, "events"))
+
+
+_FAR = "(CASE WHEN event_id % 2 = 0 THEN -62167219200000 ELSE 253402300800000 END + event_id * 1000)"
+
+
+@query(f"SELECT event_id, ({_FAR} // 1000)::BIGINT AS seconds, CASE WHEN event_id % 2 = 0 THEN 0 ELSE 10000 END::INTEGER AS year FROM events")
+def epoch_ms_far_years(spark, sf):
+    """Times in the years 0 and 10000."""
+    far = F.when(F.col("event_id") % 2 == 0, F.lit(-62167219200000)).otherwise(F.lit(253402300800000)) + F.col("event_id") * 1000
+    time = epoch_ms_to_timestamp(far)
+    since = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), time)
+    return table(spark, sf, "events").select("event_id", since.alias("seconds"), F.year(time).alias("year"))
 
 
 # --- landed documents -------------------------------------------------------------------------
@@ -213,3 +227,17 @@ def landing_text_roundtrip(spark, sf):
         [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
     )
     return read_landing_text(spark, path, schema)
+
+
+@query(
+    "SELECT event_id::VARCHAR AS ids, value::DOUBLE AS longitude, 3.5::DOUBLE AS depth, "
+    "TIMESTAMP '2024-02-03 04:05:06' AS loaded FROM events"
+)
+def strict_features_loaded_at(spark, sf):
+    """Strict extraction of features that all have their coordinates, with a given load time."""
+    documents = parse_documents(mistyped_documents(table(spark, sf, "events")), "document")
+    strict = extract_properties(explode_features(documents), missing="fail")
+    stamped = with_ingestion_time(strict, F.lit("2024-02-03 04:05:06").cast("timestamp_ntz"))
+    return stamped.select(
+        "ids", F.col("longitude").cast("double"), F.col("depth").cast("double"), F.col("ingestion_dt").cast("timestamp_ntz").alias("loaded")
+    )

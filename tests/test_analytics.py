@@ -184,3 +184,39 @@ def test_exact_mean_of_terms_no_integer_holds(spark):
     means = {r.area: r.avg_value for r in agg.avg_by_region(df, exact_scale=2).collect()}
     assert math.isnan(means.pop("nan"))
     assert means == {"a": 0.375, "huge": 5e299, "inf": math.inf, "none": None, "part": 0.1}
+
+
+def test_exact_means_of_any_exponent(spark):
+    """The correctly rounded mean, the same however the rows are dealt."""
+    import math
+    import random
+    from fractions import Fraction
+
+    rnd = random.Random(3)
+    groups = {
+        "mixed": [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-300, 300) for _ in range(500)],
+        "cancel": [1e300, 1.0, -1e300, 1e-300],
+        "small": [5e-324, 5e-324, 0.0, -0.0, 2.2250738585072014e-308],
+        "powers": [2.0**k for k in range(-60, 61)] + [math.nextafter(2.0**k, 0) for k in range(-60, 61)],
+        "decimal": [0.1] * 7 + [None],
+        "huge": [1.7976931348623157e308, 1.7976931348623157e308],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("nan", float("nan")), ("nan", 1.0), ("inf", float("inf")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {}
+    for g, values in groups.items():
+        own = [v for v in values if v is not None]
+        want[g] = float(sum(map(Fraction, own)) / len(own))
+    for parts in (1, 7):
+        found = dict(map(tuple, agg.exact_means(df.repartition(parts), ["g"], "v").collect()))
+        assert {g: found[g] for g in groups} == want
+        assert math.isnan(found["nan"]) and found["inf"] == math.inf and found["none"] is None
+
+
+def test_far_and_impossible_times_convert_or_are_null(spark):
+    from seismark.functions.times import epoch_ms_to_timestamp
+
+    ms = [253_402_300_800_000, -62_198_755_200_000, 2**63 // 1000 + 5, -(2**63), None]
+    df = spark.createDataFrame([(m,) for m in ms], "ms bigint")
+    years = [r[0] for r in df.select(F.year(epoch_ms_to_timestamp(F.col("ms")))).collect()]
+    assert years == [10000, -1, None, None, None]

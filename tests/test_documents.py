@@ -226,13 +226,14 @@ def test_a_value_of_another_type_converts_or_fails_its_row(spark, tmp_path):
         feature(mag="4.5", time="1730505600999", felt="7", ids="a"),
         feature(mag=2, time=1730505600999.0, tsunami=True, felt=3.7, ids="b"),
         feature(mag="strong", ids="c"), feature(time="noon", ids="d"), feature(sig={"x": 1}, ids="e"),
+        feature(mag="4.5d", ids="f"), feature(cdi="0x1p3", ids="g"), feature(mag="NaN", ids="h"),
     ]
     path = land(tmp_path / "in", doc(*features))
     for read in (read_landing_geojson, read_landing_text, read_landing_split):
         documents = read(spark, path)
         kept, failed = flatten(documents)
         rows = {r.ids: r for r in kept.collect()}
-        assert sorted(rows) == ["a", "b"] and sorted(r.ids for r in failed.collect()) == ["c", "d", "e"]
+        assert sorted(rows) == ["a", "b"] and sorted(r.ids for r in failed.collect()) == list("cdefgh")
         assert (rows["a"].mag, rows["a"].time, rows["a"].felt) == (4.5, 1730505600999, 7)
         assert (rows["b"].mag, rows["b"].time, rows["b"].tsunami, rows["b"].felt) == (2.0, 1730505600999, 1, 3)
         assert split_documents(documents)[1].count() == 0

@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from seismark.operators import aggregates as agg
 from seismark.operators import quality
-from seismark.operators.filters import last_days_calendar, last_days_rolling, peak_rows
+from seismark.operators.filters import (
+    last_days_calendar,
+    last_days_clustered,
+    last_days_rolling,
+    peak_rows,
+)
 from seismark.operators.sorting import top_k_by_key
 from seismark.plans.curate import curate
 from seismark.plans.questions import latest
 from seismark.schema import RAW_DOCUMENT, VARIANT_DOCUMENT
+from seismark.sinks.files import rebalanced, write_clustered
 from seismark.sources.documents import read_landing_text
 from seismark.workload import QUERIES
 
@@ -109,3 +115,30 @@ def test_no_query_uses_a_python_worker(spark):
     for name in ("frequency_and_avg", "cell_mismatches", "area_split_texts", "day_keys"):
         text = plan(QUERIES[name](spark, SF_DIR))
         assert "Python" not in text and "InPandas" not in text
+
+
+def test_all_questions_take_one_scan_and_one_shuffle(events):
+    text = plan(agg.question_sets(events, "event_type", "value", "ts"))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "Expand" in text
+
+
+def test_clustered_layer_opens_only_the_last_days(spark, events, tmp_path):
+    path = str(tmp_path / "clustered")
+    write_clustered(events, path, "ts", files=6)
+    layer = spark.read.parquet(path)
+    recent = last_days_clustered(layer, "ts", "event_date", 3, latest(layer, "ts"))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date[^\]]*>= Subquery", plan(recent).replace("\n", " ")) or re.search(
+        r"PartitionFilters: \[[^\]]*event_date[^\]]*ScalarSubquery", plan(recent)
+    )
+    days = {f.split("event_date=")[1].split("/")[0] for f in layer.inputFiles()}
+    assert len(days) == 30 and len(layer.inputFiles()) <= 30 + 6
+    last = events.agg({"ts": "max"}).first()[0]
+    assert recent.count() == events.filter(F.col("ts") >= last - dt.timedelta(days=3)).count() > 0
+
+
+def test_small_appends_make_few_files(spark, events, tmp_path):
+    many = events.repartition(8)
+    for i in range(50):
+        rebalanced(many.filter(F.col("event_id") % 50 == i)).write.mode("append").parquet(str(tmp_path / "few"))
+    assert len(list((tmp_path / "few").glob("*.parquet"))) == 50
+    assert spark.read.parquet(str(tmp_path / "few")).count() == events.count()

@@ -105,3 +105,48 @@ def test_names_and_types(spark):
 def test_curated_schema_has_the_warehouse_types():
     kinds = Counter(f.dataType.simpleString() for f in CURATED_SCHEMA)
     assert kinds == {"double": 9, "int": 4, "string": 15, "timestamp_ntz": 2, "timestamp": 1}
+
+
+@settings(few, max_examples=4)
+@given(rows_of_table, rows_of_table)
+def test_positional_match(spark, left, right):
+    """Side by side in the order of key and columns, nulls first, as sorting both lists does."""
+    def ordered(rows):
+        return sorted(rows, key=lambda r: [(v is not None, v) for v in r])
+
+    want = Counter()
+    for i in range(max(len(left), len(right))):
+        pair = [ordered(side)[i] if i < len(side) else None for side in (left, right)]
+        if None in pair:
+            want[i, None, None, None, "missing" if pair[1] is None else "surplus"] += 1
+            continue
+        for name, a, b in zip(("ids", "place", "n"), *pair, strict=True):
+            if a != b:
+                want[i, name, text(a), text(b), "cell"] += 1
+    frames = [spark.createDataFrame(side, SCHEMA) for side in (left, right)]
+    found = quality.positional_match(*frames, "ids", ["place", "n"])
+    assert Counter(map(tuple, found.collect())) == want
+
+
+def test_positions_run_through_all_partitions(spark):
+    from seismark.operators.sorting import with_position
+
+    rows = spark.range(0, 30_000, 1, 8).selectExpr("IF(id % 3 = 0, 7, id % 1000) AS k", "id")
+    placed = with_position(rows, "k", "id")
+    assert "rangepartitioning" in rows.orderBy("k", "id")._jdf.queryExecution().executedPlan().toString()
+    found = [tuple(r) for r in placed.orderBy("position").select("position", "k", "id").collect()]
+    want = sorted((7 if i % 3 == 0 else i % 1000, i) for i in range(30_000))
+    assert found == [(n, *row) for n, row in enumerate(want)]
+    assert with_position(rows.limit(0), "k").count() == 0
+
+
+def test_bottom_k_sample_is_the_same_however_dealt(spark):
+    base = spark.range(5000).selectExpr("id AS k", "id % 7 AS v")
+    changed = base.selectExpr("k", "IF(k % 10 = 0, -1, v) AS v").where("k % 11 <> 3")
+    results = [
+        sorted(map(tuple, quality.bottom_k_sample_match(base.repartition(n), changed.repartition(m), "k", ["v"], 200, salt).collect()))
+        for n, m, salt in ((1, 3, "a"), (6, 2, "a"), (2, 2, "b"))
+    ]
+    assert results[0] == results[1] != results[2]
+    assert 20 < len(results[0]) < 100
+    assert quality.bottom_k_sample_match(base, base.repartition(3), "k", ["v"], 200).isEmpty()
