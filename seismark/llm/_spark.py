@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seismark.llm._bitmap import bitmap_of, sifted
 from seismark.session import work_folder
 
 
@@ -46,21 +47,42 @@ def text_hash(text_column: str) -> Column:
     return F.xxhash64(F.coalesce(text_column, F.lit("")))
 
 
+def numbered(documents: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The columns under names of their own, which clash with none that an operator makes, and the
+    new name of each."""
+    names = {c: f"__{i}" for i, c in enumerate(documents.columns)}
+    return documents.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def renamed_back(frame: DataFrame, names: dict[str, str]) -> DataFrame:
+    return frame.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def one_of_each(documents: DataFrame, groups: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each component of ``groups`` (text_hash, component), which names every text once.
 
     The row with the smallest id stays, null ids coming last; ties go by the hash of the text, then
     by that of the whole row, so what stays does not depend on the order of the rows.
+
+    Rows and their texts stay where they are unless their component has several: only the row that
+    stays of each of these moves, and few others that a bitmap cannot tell from it.
     """
-    columns, own = documents.columns, F.col(id_column)
-    source = documents.withColumn("_text", text_hash(text_column)).withColumn("_row", F.xxhash64(*columns))
+    frame, names = numbered(documents)
+    own, keys = F.col(names[id_column]), ["_text", "_row"]
+    source = frame.withColumns({"_text": text_hash(names[text_column]), "_row": F.xxhash64(*names.values())})
     place = F.struct(own.isNull().alias("none"), own.alias("id"), F.col("_text").alias("text"), F.col("_row").alias("row"))
-    first = source.groupBy(F.col("_text").alias("text_hash")).agg(F.min(place).alias("place"))
-    kept = first.join(groups, "text_hash").groupBy("component").agg(F.min("place").alias("place"))
-    named = kept.select(F.col("place.id").alias("_id"), F.col("place.text").alias("_text"), F.col("place.row").alias("_row"))
-    met = source.join(named, ["_text", "_row"])
+    first = source.groupBy(F.col("_text").alias("text_hash")).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
+    named = first.join(groups, "text_hash")
+    kept = named.groupBy("component").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
+    kept = written(kept, "one-of-each-kept", free_shuffles=True)
+    several = kept.where("n > 1").select("component", F.lit(True).alias("several"))
+    doubtful = bitmap_of(named.join(several, "component").select("text_hash"), "text_hash")
+    chosen = kept.select(F.col("place.id").alias("_id"), F.col("place.text").alias("_text"), F.col("place.row").alias("_row"))
+    alone = sifted(source, "_text", doubtful, met=False)
+    met = sifted(sifted(source, "_text", doubtful), "_row", bitmap_of(chosen, "_row")).join(chosen, keys)
     # a text has one component, so these keys are those of the join and the texts move once
-    return met.where(own.eqNullSafe(F.col("_id"))).dropDuplicates(["_text", "_row"]).select(*columns)
+    stays = met.where(own.eqNullSafe(F.col("_id"))).dropDuplicates(keys)
+    return renamed_back(alone.select(*names.values()).unionByName(stays.select(*names.values())), names)
 
 
 def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:

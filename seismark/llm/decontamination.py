@@ -2,8 +2,8 @@
 
 The windows of the benchmark form a hash set that every task holds. Its size is checked first:
 up to ``broadcast_bytes`` of benchmark text it is broadcast; a larger benchmark is taken in parts
-of that size, one scan of the documents each, and the spans found are merged by document. A hash
-that matches is verified on the words themselves.
+of that size, one scan of the documents each, and the spans found are merged by text. A hash that
+matches is verified on the words themselves.
 
 Edge cases: null and empty texts have no words; an item of fewer words than a window is one
 window; repeated items count once by their id, an item with a null id hits words without being
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seismark.llm._spark import numbered, renamed_back, written
 from seismark.llm._text import LOWER, WORD_OR_HIGH, covered, ranges, sequence_hashes, slices, utf8, word_hashes, word_spans
 
 WINDOW_WORDS = 10
@@ -110,17 +112,12 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet) -> Iterator[pa.
 
 
 def benchmark_parts(benchmark: DataFrame, id_column: str, text_column: str, part_bytes: int) -> Iterator[list]:
-    """The items in lists of about ``part_bytes`` of text, or one item if it is longer."""
-    source = benchmark.select(F.col(id_column).cast("long"), F.col(text_column))
-    part, size = [], 0
-    for item, text in source.toLocalIterator():
-        part.append((item, text))
-        size += len(text or "")
-        if size >= part_bytes:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+    """The items in parts of about ``part_bytes`` of text, dealt by hash; one is fetched at a time."""
+    source = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).alias("text")).distinct()
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + size // part_bytes
+    for number in range(parts):
+        yield [tuple(r) for r in source.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == number).collect()]
 
 
 def find_hits(
@@ -136,27 +133,35 @@ def find_hits(
 ) -> DataFrame:
     """``keep`` columns of every document, its number of words, hit word numbers and items.
 
-    With a benchmark of more than one part, ``keep`` must identify a document up to equal rows.
+    A benchmark of one part takes one scan. Of a larger one, the hits of each part are written by
+    text, which two hashes name, before the next part is fetched; documents then meet those of
+    their own text, and no others, whatever their ids.
     """
     source = documents.select(*keep, F.col(text_column).alias("_text"))
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema) + ", " + SPANS
-    found = []
-    for part in benchmark_parts(benchmark, benchmark_id, benchmark_text, broadcast_bytes):
+    shape = lambda frame: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema) + ", " + SPANS
+
+    def scan(frame: DataFrame, part: list) -> DataFrame:
         shared = spark.sparkContext.broadcast(part)
-        found.append(source.mapInArrow(lambda batches, shared=shared: _scan(batches, _set_of(shared, width)), shape))
-    if not found:
-        return source.mapInArrow(lambda batches: _scan(batches, WindowSet([], width)), shape)
-    if len(found) == 1:
-        return found[0]
-    # Each part scans the same rows: equal rows get equal spans, so they merge as one group and
-    # are given back as often as they occur in one scan.
-    parts = reduce(DataFrame.unionByName, (x.withColumn("part", F.lit(i)) for i, x in enumerate(found)))
-    merged = parts.groupBy(*keep, "n_words").agg(
-        F.array_distinct(F.flatten(F.collect_set("words"))).alias("words"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-        F.sum((F.col("part") == 0).cast("int")).alias("copies"),
+        return frame.mapInArrow(lambda batches: _scan(batches, _set_of(shared, width)), shape(frame.drop("_text")))
+
+    parts = benchmark_parts(benchmark, benchmark_id, benchmark_text, broadcast_bytes)
+    first = next(parts)
+    second = next(parts, None)
+    if second is None:
+        return scan(source, first)
+    text = F.coalesce("_text", F.lit(""))
+    keys = [F.xxhash64(text).alias("_a"), F.xxhash64(F.lit(1), text).alias("_b")]
+    by_text, found = source.select(*keys, "_text"), []
+    for part in chain([first, second], parts):
+        found.append(written(scan(by_text, part).where(F.size("words") > 0), "decontamination-part"))
+    # copies of a text collapse in the tasks that read them
+    spans = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("words", "items")]
+    merged = reduce(DataFrame.unionByName, found).groupBy("_a", "_b").agg(*spans)
+    plain = scan(source.select(*keep, *keys, "_text"), []).drop("words", "items")
+    none = F.array().cast("array<long>")
+    return plain.join(merged, ["_a", "_b"], "left").select(
+        *keep, "n_words", F.coalesce("words", none).alias("words"), F.coalesce("items", none).alias("items")
     )
-    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*keep, "n_words", "words", "items")
 
 
 _sets: dict[int, WindowSet] = {}
@@ -185,8 +190,8 @@ def contamination(spark: SparkSession, documents: DataFrame, benchmark: DataFram
     )
 
 
-def remove_contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def remove_contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without a hit word, with all their columns."""
-    keep = documents.columns
-    hits = find_hits(spark, documents, benchmark, keep)
-    return hits.where(F.size("words") == 0).select(*keep)
+    frame, names = numbered(documents)
+    hits = find_hits(spark, frame, benchmark, list(names.values()), names["text"], **options)
+    return renamed_back(hits.where(F.size("words") == 0), names)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seismark.llm._bitmap import bitmap_of, sifted
 from seismark.llm._spark import written
 from seismark.llm._text import LOWER, WORD_OR_HIGH, mix, sequence_hashes, signed, slices, utf8, word_hashes, word_spans
 from seismark.llm.license_texts import NOTICES, PHRASES
@@ -37,9 +38,6 @@ SLACK_WORDS = 8
 #: Least share of a template's grams that vote for a span, as one in so many.
 VOTES = 4
 MIN_SCORE = 0.8
-#: Bits of the map of texts to verify, 8 MB whatever the corpus.
-BITMAP_BITS = 26
-
 VERIFIED = "a long, b long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double"
 
 
@@ -138,28 +136,6 @@ def voted_spans(texts: DataFrame, known: list[Template]) -> DataFrame:
     return enough.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("template", "start", "stop"))).alias("spans"))
 
 
-def bitmap_of(keys: DataFrame, key: str) -> np.ndarray:
-    """A bit per leading bits of the keys: a map of fixed size."""
-    index = F.shiftrightunsigned(key, 64 - BITMAP_BITS)
-    bits = F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned({key}, {64 - BITMAP_BITS}) & 63 AS INT))"))
-    words = keys.groupBy(F.shiftright(index, 6).alias("word")).agg(bits.alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return bitmap.view(np.uint64)
-
-
-def possible(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """The texts whose key may be among those of the bitmap."""
-    shared, schema = texts.sparkSession.sparkContext.broadcast(bitmap), texts.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("a").to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-            yield batch.filter(pa.array((shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) > 0))
-
-    return texts.mapInArrow(run, schema)
-
-
 def verified_spans(words: list[bytes], spans: list[dict], known: list[Template]) -> list[tuple[Template, int, float]]:
     """(template, start, score) of the phrases that stand there, and of the notices that are alike
     enough; of notices that overlap only the best stays, among equals the first in the list."""
@@ -208,7 +184,7 @@ def license_facts(
     """What was found in each distinct text that holds any span, by its two hashes ``a`` and ``b``."""
     texts = keyed(documents, text_column)
     spans = written(voted_spans(texts, templates(phrases, notices)), "licenses-spans", free_shuffles=True)
-    once = possible(texts, bitmap_of(spans, "a")).dropDuplicates(["a", "b"])
+    once = sifted(texts, "a", bitmap_of(spans, "a")).dropDuplicates(["a", "b"])
     return once.join(spans, ["a", "b"]).mapInArrow(lambda batches: verify(batches, phrases, notices), VERIFIED)
 
 

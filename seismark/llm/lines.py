@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismark.llm._spark import written
+from seismark.llm._spark import numbered, renamed_back, written
 from seismark.llm._text import WORD_BASE, mix, powers, ranges, signed, slices, utf8
 
 MAX_EDITS = 2
@@ -350,15 +350,18 @@ def without_repeats(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int
     """The documents without their removed lines; one that loses all its text is left out."""
     decided = decided_lines(keyed(documents), edits, min_chars).where("repeated OR near")
     gone = decided.groupBy("doc_id", "text_hash").agg(F.collect_set("number").alias("_gone"))
-    source = documents.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    frame, names = numbered(documents)
+    own, whole = F.col(names["doc_id"]), F.col(names["text"])
+    source = frame.withColumn("_hash", F.xxhash64(F.coalesce(whole, F.lit(""))))
     met = source.join(
         gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_key"), "_gone"),
-        source["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left",
-    ).drop("_id", "_key", "_hash")
-    kept = F.filter(
-        F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i.cast("long"))
-    )
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    cut = met.withColumn("text", text).where(F.col("_gone").isNull() | (F.length(F.trim("text")) > 0))
-    size = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return (cut.withColumn("n_chars", size) if "n_chars" in cut.columns else cut).select(*documents.columns)
+        own.eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left",
+    )
+    kept = F.filter(F.split(whole, "\n", -1), lambda line, i: ~F.array_contains("_gone", i.cast("long")))
+    untouched = F.col("_gone").isNull()
+    text = F.when(untouched, whole).otherwise(F.array_join(kept, "\n"))
+    cut = met.withColumn("_cut", text).where(untouched | (F.length(F.trim("_cut")) > 0))
+    values = {names["text"]: F.col("_cut")}
+    if "n_chars" in names:
+        values[names["n_chars"]] = F.when(untouched, F.col(names["n_chars"])).otherwise(F.length("_cut").cast("long"))
+    return renamed_back(cut.withColumns(values), names)

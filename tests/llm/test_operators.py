@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seismark.llm import decontamination, language, lines, lm_score, packing, passages, simhash, substring, topk, toxicity
@@ -138,11 +139,14 @@ def test_decontamination(spark, corpora):
                         found |= owners - {None}
             names = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
             want[i, len(own), len(hit), len(found), names, bool(hit)] += 1
-        for size in (16 << 20, 100):
+        for size in (16 << 20, 400):
             got = decontamination.contamination(spark, documents, benchmark, broadcast_bytes=size)
             assert counted(got.collect()) == want
-        clean = decontamination.remove_contaminated(spark, documents, benchmark)
+        clean = decontamination.remove_contaminated(spark, documents, benchmark, broadcast_bytes=400)
         assert clean.columns == documents.columns and clean.count() == sum(n for x, n in want.items() if not x[-1])
+        again = documents.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.lit(7)))  # repeated and null ids
+        want = Counter((None if x[0] is None or x[0] % 2 else 7, *x[1:]) for x in want.elements())
+        assert counted(decontamination.contamination(spark, again, benchmark, broadcast_bytes=400).collect()) == want
         empty = decontamination.contamination(spark, documents, benchmark.limit(0))
         assert empty.where("contaminated").count() == 0 and empty.count() == len(rows)
 

@@ -39,3 +39,20 @@ def test_stages_and_run(spark):
     columns = ["doc_id", "start", "length", "ids_crc32"]
     want = Counter(map(tuple, packed.select(*columns).collect()))
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).select(*columns).collect())) == want
+
+
+def test_columns_named_like_those_of_the_operators_stay(spark):
+    """A column of a user passes every stage, whatever its name."""
+    from pyspark.sql import functions as F
+
+    names = ["score", "lang_pred", "words", "items", "n_words", "_text", "_row", "_id", "_gone", "_hash", "_whole", "text_hash", "component", "a.b", "_a"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = written(stage(spark, docs, SF), "test-clash")
+        assert kept.columns == docs.columns and 0 < kept.count() <= docs.count()
+        for r in kept.collect():
+            assert all(r[n] == f"{n}-{r['doc_id']}" for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, SF).count() > 0
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), SF).collect() == []
