@@ -27,15 +27,27 @@ def bitmap_of(keys: DataFrame, key: str) -> np.ndarray:
     return bitmap.view(np.uint64)
 
 
-def sifted(frame: DataFrame, key: str, bitmap: np.ndarray, met: bool = True) -> DataFrame:
-    """The rows whose key may be among those of the bitmap; with ``met`` false the others, whose key
-    is surely not."""
-    shared, schema = frame.sparkSession.sparkContext.broadcast(bitmap), frame.schema
+#: Rows that a sieve copies at a time.
+ROWS_AT_ONCE = 1000
+
+
+def sifted(frame: DataFrame, *sieves: tuple[str, np.ndarray], met: bool = True) -> DataFrame:
+    """The rows whose keys may all be among those of their bitmaps; with ``met`` false the others,
+    of which one key surely is not. All sieves work in one pass, in one Python worker a task."""
+    names, schema = [key for key, _ in sieves], frame.schema
+    shared = frame.sparkSession.sparkContext.broadcast([bitmap for _, bitmap in sieves])
+
+    def inside(batch: pa.RecordBatch) -> np.ndarray:
+        found = np.ones(batch.num_rows, bool)
+        for key, bitmap in zip(names, shared.value, strict=True):
+            at = batch.column(key).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+            found &= (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(key).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-            bit = shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
-            yield batch.filter(pa.array((bit > 0) == met))
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                yield part.filter(pa.array(inside(part) == met))
 
     return frame.mapInArrow(run, schema)

@@ -78,8 +78,8 @@ def one_of_each(documents: DataFrame, groups: DataFrame, id_column: str = "doc_i
     several = kept.where("n > 1").select("component", F.lit(True).alias("several"))
     doubtful = bitmap_of(named.join(several, "component").select("text_hash"), "text_hash")
     chosen = kept.select(F.col("place.id").alias("_id"), F.col("place.text").alias("_text"), F.col("place.row").alias("_row"))
-    alone = sifted(source, "_text", doubtful, met=False)
-    met = sifted(sifted(source, "_text", doubtful), "_row", bitmap_of(chosen, "_row")).join(chosen, keys)
+    alone = sifted(source, ("_text", doubtful), met=False)
+    met = sifted(source, ("_text", doubtful), ("_row", bitmap_of(chosen, "_row"))).join(chosen, keys)
     # a text has one component, so these keys are those of the join and the texts move once
     stays = met.where(own.eqNullSafe(F.col("_id"))).dropDuplicates(keys)
     return renamed_back(alone.select(*names.values()).unionByName(stays.select(*names.values())), names)

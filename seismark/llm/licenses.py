@@ -184,7 +184,7 @@ def license_facts(
     """What was found in each distinct text that holds any span, by its two hashes ``a`` and ``b``."""
     texts = keyed(documents, text_column)
     spans = written(voted_spans(texts, templates(phrases, notices)), "licenses-spans", free_shuffles=True)
-    once = sifted(texts, "a", bitmap_of(spans, "a")).dropDuplicates(["a", "b"])
+    once = sifted(texts, ("a", bitmap_of(spans, "a"))).dropDuplicates(["a", "b"])
     return once.join(spans, ["a", "b"]).mapInArrow(lambda batches: verify(batches, phrases, notices), VERIFIED)
 
 
