@@ -195,36 +195,99 @@ def test_vantage_shards_lose_no_link(spark):
     assert len(set(zip(root.tolist(), label, strict=True))) == len(set(root.tolist())) == len(set(label))
 
 
+def within(a: str, b: str, limit: int) -> bool:
+    """Edit distance by the textbook table, after a bound by the bags of characters."""
+    bag = Counter(a)
+    bag.subtract(b)
+    if sum(abs(n) for n in bag.values()) > 2 * limit:
+        return False
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        if min(row) > limit:
+            return False
+    return row[-1] <= limit
+
+
+def brute_lines(rows, near_chars=20, edits=2):
+    """Per document: rows, lines, repeats, near repeats, removed lines, links, and each line's class."""
+    order = lambda i, t: (i is not None, i or 0, xxhash.xxh64_intdigest(t, 42) + 2**63 & 2**64 - 1)
+    stands = Counter((i, t or "") for i, t in rows)
+    own = {d: [(n, x) for n, x in enumerate(d[1].split("\n")) if x.strip(" \t\n\x0b\x0c\r")] for d in stands}
+    first: dict[str, tuple] = {}
+    for d in sorted(own, key=lambda d: order(*d)):
+        for n, x in own[d]:
+            first.setdefault(x, (order(*d), n, d[0]))
+    texts, near = sorted(first, key=len), {x: [] for x in first}
+    for a, x in enumerate(texts):
+        limit = min(edits, len(x) // near_chars)
+        for y in texts[a + 1 :]:
+            if not limit or len(y) - len(x) > limit:
+                break
+            if within(x, y, limit):
+                near[x].append(y)
+                near[y].append(x)
+    found = Counter()
+    for d, lined in own.items():
+        again = [(order(*d), n) > first[x][:2] for n, x in lined]
+        close = [any(first[y][:2] < first[x][:2] for y in near[x]) for _, x in lined]
+        copies = Counter(x for e in own for _, x in own[e])
+        classes = tuple(
+            (n, first[x][2], first[x][1], len(near[x]), a, b)
+            for (n, x), a, b in zip(lined, again, close, strict=True) if copies[x] > 1 or near[x]
+        )
+        either = sum(a or b for a, b in zip(again, close, strict=True))
+        found[d[0], stands[d], len(lined), sum(again), sum(close), either, sum(len(near[x]) for _, x in lined), classes] += 1
+    return found, {frozenset((first[x], first[y])) for x in near for y in near[x]}
+
+
+def lines_found(documents, **options):
+    rows = lines.line_report(documents, **options).collect()
+    classes = lambda r: tuple((x["line"], *x[2:]) for x in r["classes"])
+    return Counter((*r[:-1], classes(r)) for r in rows)
+
+
 def test_lines(spark, corpora):
-    for documents, rows in corpora:
-        by_id: dict = {}
-        for i, t in rows:
-            by_id.setdefault(i, set()).add(t or "")
-        rows = [(i, t) for i, own in by_id.items() if len(own) == 1 for t in own]
-        documents = documents.where(documents["doc_id"].isNotNull())
-        rows = [(i, t) for i, t in rows if i is not None]
-        documents = documents.dropDuplicates(["doc_id"])
-        found = {r[0]: tuple(r[1:]) for r in lines.line_report(documents, 2, 20).collect()}
-        own = {i: [(n, x) for n, x in enumerate(t.split("\n")) if len(x) >= 20] for i, t in rows}
-        first: dict[str, tuple] = {}
-        for i in sorted(own):
-            for n, x in own[i]:
-                first.setdefault(x, (i, n))
-        texts = sorted(first, key=len)
-        near = {x: [] for x in texts}
-        for a, x in enumerate(texts):
-            for y in texts[a + 1 :]:
-                if len(y) - len(x) > 2:
-                    break
-                if x[:8] == y[:8] or x[-8:] == y[-8:] or len(set(x) ^ set(y)) < 3:
-                    if lines.edit_distances([x], [y], 2)[0] <= 2:
-                        near[x].append(y)
-                        near[y].append(x)
-        for i in own:
-            repeated = [(i, n) > first[x] for n, x in own[i]]
-            close = [any(first[y] < first[x] for y in near[x]) for _, x in own[i]]
-            want = len(own[i]), sum(repeated), sum(close), sum(a or b for a, b in zip(repeated, close, strict=True)), sum(len(near[x]) for _, x in own[i])
-            assert found[i] == want
+    rnd = np.random.default_rng(3)
+    speak = lambda n: "".join(rnd.choice(list("abcd é"), n))
+    base = [speak(n) for n in (3, 12, 19, 20, 21, 30, 39, 40, 41, 60)]
+    odd = [(None, base[8]), (None, base[8]), (None, base[8] + "\nother"), (7, "Yes.\n\n \t\nYes."), (7, "No.\nYes."), (8, "\r\nNo."), (8, "\r\nNo.")]
+    for i in range(60):
+        line = [list(base[k]) for k in rnd.integers(0, len(base), 4)]
+        for x in line:
+            for _ in range(rnd.integers(0, 4)):
+                at = int(rnd.integers(0, len(x) + 1))
+                x[at : at + int(rnd.integers(0, 2))] = rnd.choice(list("abc"), rnd.integers(0, 2)).tolist()
+        odd.append((100 + i // 2, "\n".join("".join(x) for x in line)))
+    for documents, rows in [*corpora, (frame(spark, odd), odd)]:
+        want, links = brute_lines(rows)
+        assert lines_found(documents) == want
+        place = lambda x: ((x["doc_id"] is not None, x["doc_id"] or 0, x["text_hash"] + 2**63), x["number"], x["doc_id"])
+        pairs = lines.linked_classes(documents).collect()
+        assert len(pairs) == len(links) and {frozenset((place(r["a_first"]), place(r["b_first"]))) for r in pairs} == links
+
+
+def test_lines_with_hot_keys_and_classes(spark, monkeypatch):
+    """Splitting hot keys and broadcasting hot classes change no result."""
+    rows = [(i, f"Page {i % 40:02d} of the report on rivers and lakes, printed\nall rights reserved\n{i}") for i in range(400)]
+    want, _ = brute_lines(rows)
+    assert lines_found(frame(spark, rows)) == want
+    monkeypatch.setattr(lines, "HOT_LINES", 1)
+    monkeypatch.setattr(lines, "HOT_SHARE", 0)
+    monkeypatch.setattr(lines, "SAMPLE", 2)
+    monkeypatch.setattr(lines, "HOT_CLASS_LINES", 20)
+    assert lines_found(frame(spark, rows)) == want
+
+
+def test_documents_without_their_repeated_lines(spark):
+    rows = [(1, "kept\ntwice"), (2, "twice\nown"), (3, "twice"), (None, "twice\n\n"), (4, " \n"), (5, None), (5, ""), (1, "kept\ntwice")]
+    kept = lines.without_repeats(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    want = [(None, "twice\n\n", 7), (1, "kept", 10), (1, "kept", 10), (2, "own", 3), (4, " \n", 2), (5, None, 0), (5, "", 0)]
+    found = Counter((r["doc_id"], r["text"], r["n_chars"]) for r in kept.collect())
+    assert found == Counter((i, t, 4 if t == "kept" else n) for i, t, n in want)
 
 
 def test_edit_distance_band():
