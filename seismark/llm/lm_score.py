@@ -133,7 +133,8 @@ def counted(marked: DataFrame, names: list[str], parts: Callable[[pa.RecordBatch
             yield out()
 
     rows = marked.select("text", "target").mapInArrow(run, ", ".join(f"{x} long" for x in [*names, "n", "t"]))
-    return rows.groupBy(*names).agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    # tasks have summed what they can; a second partial sum before the shuffle would find next to nothing
+    return rows.repartition(*names).groupBy(*names).agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
 def word_counts(marked: DataFrame, hot_share: float) -> tuple[DataFrame, Words]:
@@ -246,7 +247,8 @@ def score(marked: DataFrame, losses: DataFrame, shared, hot_share: float) -> Dat
     shape = "doc_id long, text_hash long, target boolean, key long, times long, n_tokens long, micro long"
     rows = marked.withColumn("text_hash", F.xxhash64("doc_id", "text")).mapInArrow(run, shape)
     added = F.col("outside") + F.when(F.col("target"), F.col("more")).otherwise(0)
-    met = rows.join(losses.where(F.col("n") < bound).drop("n"), "key", "left")
+    # a key stands once in the table, so hashing it holds a partition's even share and nothing is sorted
+    met = rows.join(losses.where(F.col("n") < bound).drop("n").hint("shuffle_hash"), "key", "left")
     # rows with one id and one text are summed together and dealt out again, so no row needs a number
     per_text = met.groupBy("doc_id", "text_hash").agg(
         F.count_if(F.col("times") == 0).alias("copies"),
