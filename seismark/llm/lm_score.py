@@ -104,6 +104,15 @@ def flags(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def firsts(*columns: np.ndarray) -> np.ndarray:
+    """Where the values of sorted columns first stand."""
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
+    for x in columns:
+        fresh[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(fresh)
+
+
 def counted(marked: DataFrame, names: list[str], parts: Callable[[pa.RecordBatch], tuple[np.ndarray, ...]]) -> DataFrame:
     """(names, n, t): how often each stands in all documents and in the target's. ``parts`` gives a
     key for every token, the columns of ``names`` that it stands for, and the offsets of the rows.
@@ -111,8 +120,9 @@ def counted(marked: DataFrame, names: list[str], parts: Callable[[pa.RecordBatch
 
     def summed(held: list[list[np.ndarray]]) -> list[np.ndarray]:
         key, *columns, n, t = (np.concatenate(x) for x in zip(*held, strict=True))
-        key, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        return [key, *(x[first] for x in columns), *(np.bincount(inverse, x, len(key)).astype(np.int64) for x in (n, t))]
+        order = np.argsort(key)
+        first = firsts(key[order])
+        return [x[order[first]] for x in (key, *columns)] + [np.add.reduceat(x[order], first) for x in (n, t)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -227,9 +237,10 @@ def score(marked: DataFrame, losses: DataFrame, shared, hot_share: float) -> Dat
                 micro[hit] += hot_add[flag[hit], where[hit]]
             sums = np.concatenate([[0], np.cumsum(micro)])
             row, key = row[~hit], key[~hit]
-            order = np.lexsort((key, row))
+            order = np.argsort(key)  # by key, and then by row: small numbers, which numpy sorts by their digits
+            order = order[np.argsort(row[order].astype(np.uint16 if n < 1 << 16 else np.int64), kind="stable")]
             row, key = row[order], key[order]
-            fresh = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])])[: len(row)])
+            fresh = firsts(row, key)
             times = np.diff(np.concatenate([fresh, [len(row)]]))
             # a document's own row, under a key that spreads, and behind it a row for each pair to look up
             source = np.concatenate([np.arange(n), row[fresh]])
