@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seismark.llm._bitmap import bitmap_of, sifted
@@ -13,6 +13,19 @@ from seismark.session import work_folder
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of 4 MB between Spark and Python, unless the session sets a size.
+
+    At the default, 64 MB, a batch of long texts lies in the JVM's direct memory, which grows by doubling,
+    and in the Python worker, for every task of an executor at once.
+    """
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 def written(frame: DataFrame, label: str, free_shuffles: bool = False) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and safe from lost executors.
 

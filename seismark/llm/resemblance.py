@@ -1,5 +1,9 @@
 """Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exact.
 
+Texts meet first by SimHash: fingerprints of their five-word shingles, linked by the vantage-point
+trees of :mod:`simhash`. Fingerprints tell near copies without a shared key but not all of them, and
+what they bring together is decided on the shingles like any other pair. The rest meets by shingles.
+
 Of two sets that similar, the first shingles of both, one in five and one more in an order that
 holds for all texts, share one (the prefix filter), so texts meet under those only and no pair is
 lost. The order is by hash, with shingles that a sample shows to be common behind all others, which
@@ -7,8 +11,8 @@ keeps boilerplate from bringing unlike texts together. Pairs that meet are scree
 shingles and by a parity sketch of a bit per shingle (a differing shingle flips one bit at most), both
 without loss, and then decided on the shingles of both texts.
 
-A large group is joined by stars first: each shingle's texts meet a few centres. Only texts that
-are still apart then meet pairwise, so near copies cost rows per member and not per pair.
+A large group is joined by stars first: the texts of linked fingerprints, then those of each
+shingle, meet a few centres. Only texts that are still apart then meet pairwise, so near copies cost rows per member and not per pair.
 
 Edge cases: words are cut at ASCII white space and lower-cased in ASCII; a text of less than five
 words is one shingle; null and blank texts are equal; equal texts take part once.
@@ -23,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seismark.llm import simhash
 from seismark.llm._bitmap import bitmap_of, sifted
-from seismark.llm._spark import components, discard, one_of_each, text_hash, written
+from seismark.llm._spark import components, discard, one_of_each, small_batches, text_hash, written
 from seismark.llm._text import LOWER, NOT_SPACE, mix, ranges, sequence_hashes, signed, slices, utf8, word_hashes, word_spans
 
 SHINGLE_WORDS = 5
@@ -173,7 +178,7 @@ def sketches_of(row: np.ndarray, value: np.ndarray, n: int) -> list[bytes]:
 
 
 def sketch_rows(texts: DataFrame) -> DataFrame:
-    """(node, size, sketch) of every text."""
+    """(node, size, code, sketch) of every text; the code is its SimHash fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -181,9 +186,20 @@ def sketch_rows(texts: DataFrame) -> DataFrame:
                 part = batch.slice(start, 2048)
                 row, value = shingle_sets(*utf8(part.column("text")))
                 sketch, size = sketches_of(row, value, part.num_rows), np.bincount(row, minlength=part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("text_hash"), pa.array(size), pa.array(sketch, pa.binary())], names=["node", "size", "sketch"])
+                code = signed(simhash.text_fingerprints(*utf8(part.column("text")), SHINGLE_WORDS))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("text_hash"), pa.array(size), pa.array(code), pa.array(sketch, pa.binary())], names=["node", "size", "code", "sketch"]
+                )
+
+    return texts.select("text_hash", "text").mapInArrow(run, "node long, size long, code long, sketch binary")
+
 
-    return texts.select("text_hash", "text").mapInArrow(run, "node long, size long, sketch binary")
+def fingerprint_rows(sketches: DataFrame) -> DataFrame:
+    """(key, node, size): every text under the group that links of fingerprints make of its own."""
+    codes = written(sketches.select("code").distinct(), "resemblance-codes", free_shuffles=True)
+    linked = components(simhash.near_duplicate_links(codes), "resemblance-fingerprints").withColumnRenamed("node", "code")
+    grouped = sketches.select("node", "size", "code").join(linked, "code", "left")
+    return grouped.select(F.coalesce("component", "code").alias("key"), "node", "size")
 
 
 def sketch_distance(left: bytes, right: bytes) -> int:
@@ -241,6 +257,7 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> Da
 
 def similar_groups(documents: DataFrame, text_column: str = "text") -> DataFrame:
     """(text_hash, component) of every distinct text."""
+    small_batches(documents.sparkSession)
     source = documents.select(text_hash(text_column).alias("text_hash"), F.coalesce(text_column, F.lit("")).alias("text"))
     # a text that stands once needs no comparison to be told from its copies, and stays where it is
     often = bitmap_of(source.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "text_hash")
@@ -253,11 +270,11 @@ def similar_groups(documents: DataFrame, text_column: str = "text") -> DataFrame
     entries = written(prefix_rows(texts).repartition(partitions, "key").mapInArrow(met_again, entry), "resemblance-entries", free_shuffles=True)
     sketches = written(sketch_rows(texts), "resemblance-sketches")
     links, joined = None, None
-    for number in range(STAR_ROUNDS + 1):
-        rows = entries.join(joined, "node", "left") if joined else entries.withColumn("component", F.col("node"))
+    for number in range(STAR_ROUNDS + 2):  # the first by fingerprints
+        rows = entries.join(joined, "node", "left") if joined else fingerprint_rows(sketches).withColumn("component", F.col("node"))
         rows = rows.select("key", "node", "size", F.coalesce("component", "node").alias("component")).repartition(partitions, "key")
         salts = range(CENTRES * number, CENTRES * number + CENTRES)
-        pairs = rows.mapInArrow(open_pairs if number == STAR_ROUNDS else lambda batches, salts=salts: star_pairs(batches, salts), "a long, b long")
+        pairs = rows.mapInArrow(open_pairs if number > STAR_ROUNDS else lambda batches, salts=salts: star_pairs(batches, salts), "a long, b long")
         found = similar_pairs(pairs, texts, sketches)
         links = links.unionByName(found) if links else found
         joined = written(components(links, "resemblance-components"), "resemblance-joined")

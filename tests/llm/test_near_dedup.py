@@ -6,6 +6,9 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
+
+from seismark.llm import lines
 
 from .fixtures import LOWER, frame, words
 
@@ -85,3 +88,43 @@ def test_sketches_bound_the_difference_and_tell_long_texts_apart():
             assert 9 * sketch_distance(left, right) > n + m
     texts = sketches_of(np.array([0, 0, 2]), np.array([5, 5 + 2**40, 7], np.uint64), 3)
     assert texts[1] == bytes(len(texts[1])) and sketch_distance(texts[0], texts[1]) in (0, 2)
+
+
+def test_fingerprints_bring_near_copies_together(spark, monkeypatch):
+    """Without any shared shingle to meet under, linked fingerprints alone find near copies, and the
+    shingles decide: texts of one fingerprint that are not similar stay apart."""
+    from seismark.llm import resemblance, simhash
+
+    base, other, third = speak(3000), speak(3000), speak(200)
+    texts = [base, base + " tail", "head " + base, other, edited(other, 1), third, speak(200)]
+    none = lambda texts: spark.createDataFrame([], "key long, node long, size long")
+    monkeypatch.setattr(resemblance, "prefix_rows", none)
+    rows = list(enumerate(texts))
+    assert kept(spark, rows) == sorted([rows[0], rows[3], rows[5], rows[6]], key=str)
+    monkeypatch.setattr(simhash, "text_fingerprints", lambda data, offsets, shingle=3: np.zeros(len(offsets) - 1, np.uint64))
+    assert kept(spark, rows) == sorted([rows[0], rows[3], rows[5], rows[6]], key=str)
+
+
+def test_fingerprints_are_linked_within_two_bits(spark):
+    from seismark.llm import resemblance
+
+    codes = [0, 3, 7, -1, -2, 7 << 40]  # 3 and 7 differ by a bit, 0 and 3 by two, -1 and -2 by one
+    sketches = spark.createDataFrame([(n, 10, c, b"") for n, c in enumerate(codes)], "node long, size long, code long, sketch binary")
+    key = {r["node"]: r["key"] for r in resemblance.fingerprint_rows(sketches).collect()}
+    assert key[0] == key[1] == key[2] and key[3] == key[4] and len(set(key.values())) == 3
+
+
+def test_batches_of_texts_are_small_unless_the_session_says_otherwise(spark):
+    """Every stage that holds whole texts in its tasks bounds the batches by bytes, not by rows alone."""
+    from seismark.llm import passages
+    from seismark.llm._spark import BATCH_BYTES
+
+    rows = [(i, speak(60)) for i in range(5)]
+    stages = [lambda s, d, f=f: f(s, d, "") for f in (corpus_pipeline.language_id, corpus_pipeline.line_dedup, corpus_pipeline.near_dedup)]
+    for stage in [*stages, lambda s, d: passages.remove_passages(d), lambda s, d: lines.line_report(d)]:
+        for own in (None, "1m"):
+            session = spark.newSession()
+            if own:
+                session.conf.set(BATCH_BYTES, own)
+            stage(session, frame(session, rows))
+            assert session.conf.get(BATCH_BYTES) == (own or "4m")
