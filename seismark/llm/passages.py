@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from seismark.llm import repeats
+from seismark.llm._spark import small_batches
 from seismark.llm._text import NOT_SPACE, mix, ranges, sequence_hashes, slices, utf8, word_hashes, word_spans
 
 WORDS = 35
@@ -115,13 +116,19 @@ def repeated_windows(codes: np.ndarray, at: np.ndarray, places: np.ndarray, word
 
 
 def decide(batches: Iterator[pa.RecordBatch], words: int, limit: int) -> Iterator[pa.RecordBatch]:
-    rows = [b for b in batches if b.num_rows]
-    if rows:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        codes, at, _, _ = split_words(*utf8(table["bytes"]))
-        flags = repeated_windows(codes, at, table["places"].to_numpy(), words, limit)
-        n = table["n"].to_numpy().astype(np.int64)
-        yield repeats.runs_batch(table["gram"].combine_chunks(), table["content"].combine_chunks(), n, flags)
+    # a shard's texts are hashed a slice at a time and not kept: the working arrays are many times their size
+    codes, counts, columns = [], [], []
+    for batch in slices(batches, "bytes"):
+        own, at, _, _ = split_words(*utf8(batch.column("bytes")))
+        codes.append(own)
+        counts.append(np.diff(at))
+        columns.append([batch.column(c).to_numpy().copy() for c in ("gram", "content", "places", "n")])
+    if columns:
+        gram, content, places, n = (np.concatenate(x) for x in zip(*columns, strict=True))
+        at = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        codes = np.concatenate(codes)
+        flags = repeated_windows(codes, at, places, words, limit)
+        yield repeats.runs_batch(pa.array(gram), pa.array(content), n, flags)
 
 
 def remove_passages(
@@ -129,6 +136,7 @@ def remove_passages(
     group_suffixes: int = GROUP_SUFFIXES, hot_contents: int = HOT_CONTENTS, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document; kept words joined by a blank."""
+    small_batches(documents.sparkSession)
     source = repeats.keyed(documents, text_column, id_column)
     units = word_units(words, gram)
     spans = repeats.repeats_of(

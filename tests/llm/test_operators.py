@@ -407,3 +407,23 @@ def test_empty_tables(spark):
     assert language.identify(empty).count() == 0
     assert lm_score.cross_entropy_difference(empty, empty).count() == 0
     assert toxicity.toxicity(empty, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
+
+
+def test_a_shard_of_passages_is_hashed_in_slices():
+    """The working arrays of a shard's texts are those of a slice, not of all its bytes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from seismark.llm import passages
+
+    texts = [" ".join(f"word{n % 977:08d}" for n in range(i, i + 150)).encode() for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict(
+        {"gram": [7] * 2000, "content": list(range(2000)), "places": [1] * 2000, "n": [116] * 2000, "bytes": pa.array(texts, pa.binary())}
+    )
+    tracemalloc.start()
+    found = list(passages.decide(iter([batch]), 35, 1 << 17))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [b.num_rows for b in found] == [2000]
+    assert peak < 20 * sum(map(len, texts)), peak / sum(map(len, texts))
