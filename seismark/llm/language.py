@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismark.llm._spark import bounded_sample, numbered, remainder, renamed_back
+from seismark.llm._spark import bounded_sample, numbered, remainder, renamed_back, small_batches
 from seismark.llm._text import LOWER, slices, utf8
 
 ROWS_PER_LANGUAGE = 200
@@ -333,6 +333,7 @@ def identify(documents: DataFrame) -> DataFrame:
 def keep_identified(documents: DataFrame) -> DataFrame:
     """The documents in a learned language, with all their columns. Texts without a letter go, and
     those that are unlike every learned language."""
+    small_batches(documents.sparkSession)
     model = learn(training_rows(documents), likeness=True)
     frame, names = numbered(documents)
     scored = predict_languages(frame.withColumn("_whole", F.col(names["text"])), model, list(names.values()), "_whole")
