@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seismark.llm._bitmap import BITMAP_BITS, bitmap_of, sifted
-from seismark.llm._spark import discard, numbered, renamed_back, text_hash, written
+from seismark.llm._spark import discard, numbered, renamed_back, small_batches, text_hash, written
 from seismark.llm._text import WORD_BASE, mix, powers, ranges, signed, slices, utf8
 
 MAX_EDITS = 2
@@ -379,6 +379,7 @@ def line_report(documents: DataFrame, edits: int = MAX_EDITS, near_chars: int =
     """One row per document: on how many rows it stands, its lines, repeats, near repeats, lines
     removed, and links of its lines to different ones. ``classes`` lists those of its lines that are not
     alone, by number, with their class (the line's hash), where it stands first, and its links."""
+    small_batches(documents.sparkSession)
     source = keyed(documents)
     rows = written(line_rows(source), "lines-rows")
     count = lambda c: F.count(F.when(c, 1))
@@ -404,6 +405,7 @@ def line_report(documents: DataFrame, edits: int = MAX_EDITS, near_chars: int =
 
 def without_repeats(documents: DataFrame, edits: int = MAX_EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """The documents without their removed lines; one that loses all its text is left out."""
+    small_batches(documents.sparkSession)
     frame, names = numbered(documents)
     own, whole = F.col(names["doc_id"]), F.col(names["text"])
     plain = keyed(documents)
