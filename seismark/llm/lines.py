@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from seismark.llm._bitmap import BITMAP_BITS, bitmap_of, sifted
 from seismark.llm._spark import discard, numbered, renamed_back, small_batches, text_hash, written
-from seismark.llm._text import WORD_BASE, mix, powers, ranges, signed, slices, utf8
+from seismark.llm._text import WORD_BASE, keep_freed, mix, powers, ranges, signed, slices, utf8
 
 MAX_EDITS = 2
 #: Characters of a line for each edit that it allows.
@@ -53,6 +54,16 @@ HOT_CLASS_SHARE = 2e-4
 HOT_CLASS_LINES = 1000
 
 _inverse = np.ones(1, np.uint64)
+#: Codes of the characters that most lines are made of.
+_CODES = mix(np.arange(1 << 16, dtype=np.uint64) + np.uint64(77))
+
+
+def codes(chars: np.ndarray) -> np.ndarray:
+    """A scrambled 64-bit value for every character."""
+    found = _CODES.take(chars, mode="clip")
+    rare = np.flatnonzero(chars >= len(_CODES))
+    found[rare] = mix(chars[rare].astype(np.uint64) + np.uint64(77))
+    return found
 
 
 def inverse_powers(n: int) -> np.ndarray:
@@ -87,22 +98,32 @@ class Lines:
         keep = inked[start + length] > inked[start]
         return cls(chars, row[keep], number[keep], start[keep], length[keep])
 
-    def prepare(self) -> None:
-        """Prefix sums for substring hashes, line hashes and signatures."""
-        n = int(self.length.sum())
-        place = ranges(self.start, self.length)
+    def __post_init__(self) -> None:
+        """Line hashes, and the characters' terms that the other values of a line are made of."""
         inner = ranges(np.zeros(len(self.start), np.int64), self.length)
-        code = mix(self.chars[place].astype(np.uint64) + np.uint64(77))
-        terms = code * powers(int(self.length.max(initial=1)))[inner]
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+        self.code = codes(self.chars[inner + np.repeat(self.start, self.length)])
+        self.terms = self.code * powers(int(self.length.max(initial=1)))[inner]
         self.first = np.cumsum(self.length) - self.length
-        if not n:
-            self.low = self.high = self.signature = np.empty(0, np.uint64)
-            return
-        size = self.length.astype(np.uint64)
-        self.low = mix(np.add.reduceat(terms, self.first) + size)
-        self.high = mix(np.add.reduceat(mix(terms), self.first) + size)
-        self.signature = np.bitwise_xor.reduceat(np.uint64(1) << (code >> np.uint64(58)), self.first)
+        self.low = self.hashed(self.terms)
+
+    def hashed(self, terms: np.ndarray) -> np.ndarray:
+        if not len(terms):
+            return np.empty(0, np.uint64)
+        return mix(np.add.reduceat(terms, self.first) + self.length.astype(np.uint64))
+
+    @cached_property
+    def high(self) -> np.ndarray:
+        return self.hashed(mix(self.terms))
+
+    @cached_property
+    def signature(self) -> np.ndarray:
+        if not len(self.code):
+            return np.empty(0, np.uint64)
+        return np.bitwise_xor.reduceat(np.uint64(1) << (self.code >> np.uint64(58)), self.first)
+
+    @cached_property
+    def sums(self) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.terms, dtype=np.uint64)])
 
     def substring(self, rows: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         at = self.first[rows] + start
@@ -152,9 +173,9 @@ def entry_rows(documents: DataFrame, edits: int, near_chars: int, hot: np.ndarra
     bounds = np.linspace(0, 64, pieces + 1).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for batch in slices(batches, "text"):
             lines = Lines.of(*utf8(batch.column("text")))
-            lines.prepare()
             _, first = np.unique(lines.low, return_index=True)  # copies within a slice are one line
             single = np.zeros(len(lines.low), bool)
             single[first] = True
@@ -286,9 +307,9 @@ def near_lines(documents: DataFrame, edits: int = MAX_EDITS, near_chars: int = N
     shared = documents.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "line"))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for batch in slices(batches, "text"):
             lines = Lines.of(*utf8(batch.column("text")))
-            lines.prepare()
             _, first = np.unique(lines.low, return_index=True)
             at = lines.low[first] >> np.uint64(64 - BITMAP_BITS)
             first = first[(shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) > 0]
@@ -312,9 +333,9 @@ def line_rows(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, number, line, high): the lines of each document, and number -1 for itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for batch in slices(batches, "text"):
             lines = Lines.of(*utf8(batch.column("text")))
-            lines.prepare()
             row = np.concatenate([np.arange(batch.num_rows), lines.row])
             blank = np.zeros(batch.num_rows, np.int64)
             values = [np.concatenate([blank - 1, lines.number]), np.concatenate([blank, signed(lines.low)]), np.concatenate([blank, signed(lines.high)])]

@@ -427,3 +427,37 @@ def test_a_shard_of_passages_is_hashed_in_slices():
     tracemalloc.stop()
     assert [b.num_rows for b in found] == [2000]
     assert peak < 20 * sum(map(len, texts)), peak / sum(map(len, texts))
+
+
+def test_lines_use_the_memory_of_a_slice_again():
+    """In a fresh process, as a Python worker is: almost no pages are faulted in once some slices are done."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import resource
+import numpy as np, pyarrow as pa
+from types import SimpleNamespace
+from seismark.llm import lines
+ran = []
+frame = SimpleNamespace(mapInArrow=lambda run, schema: ran.append(run))
+frame.select = lambda *names: frame
+lines.line_rows(frame)
+lines.entry_rows(frame, 2, 20, np.empty(0, np.int64))
+text = "\\n".join(f"line {i} of a text that goes on for some time {i * 7919 % 10007}" for i in range(8000))
+batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text_hash": [2], "text": [text]})
+for run in ran:
+    before = []
+    for _ in run(iter([batch] * 12)):
+        before.append(resource.getrusage(resource.RUSAGE_SELF).ru_minflt)
+    print((before[-1] - before[5]) // 6)
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(lines.__file__).parents[2], capture_output=True, text=True, check=True)
+    assert max(map(int, done.stdout.split())) < 500, done.stdout
+
+
+def test_lines_beyond_the_basic_plane():
+    """Hashes of characters by table and by formula are the same."""
+    chars = np.array([0, 10, 65, 0x4E00, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF], np.uint32)
+    assert (lines.codes(chars) == lines.mix(chars.astype(np.uint64) + np.uint64(77))).all()
