@@ -29,7 +29,7 @@ WINDOW = 2048
 END_ID = 1
 #: Text of one bucket; about eight million tokens, four thousand windows.
 BUCKET_BYTES = 32 << 20
-#: Chunks of text whose ids a Python worker keeps; the table starts anew when it is full.
+#: Chunks of text whose ids a Python worker keeps, some 40 bytes each; the table starts anew when it is full.
 CACHED_CHUNKS = 1_000_000
 
 _CHUNKS_A_LINE = 2000
@@ -139,41 +139,46 @@ class Chunks:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)  # in the order of the hashes
         self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Encode chunks, many to a string; the offsets of the tokens tell them apart."""
-        lines, length = [], ends - starts
+        ids, sizes, length = [self.ids], [], ends - starts
         for at in range(0, len(starts), _CHUNKS_A_LINE):
             size = length[at : at + _CHUNKS_A_LINE]
             line = np.full(int((size + 1).sum()), 32, np.uint8)
             line[ranges(np.cumsum(size + 1) - size - 1, size)] = data[ranges(starts[at : at + _CHUNKS_A_LINE], size)]
-            lines.append(line.tobytes().decode())
-        ids, sizes = [self.ids], []
-        for line, coded in zip(lines, self.tokenizer.encode_batch(lines, add_special_tokens=False), strict=True):
-            code = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+            text = line.tobytes().decode()
+            # one string at a time: the tokenizer's tokens take far more memory than their ids
+            coded = self.tokenizer.encode(text, add_special_tokens=False)
+            code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
             chunk = np.cumsum(code == 32)[np.array([o[0] for o in coded.offsets], np.int64)] if len(coded) else []
-            sizes.append(np.bincount(np.asarray(chunk, np.int64), minlength=int((code == 32).sum())))
+            sizes.append(np.bincount(np.asarray(chunk, np.int64), minlength=len(size)))
             ids.append(np.array(coded.ids, np.uint32))
         self.ids = np.concatenate(ids)
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of every row, and which rows are unusual: their ids must be taken whole instead."""
-        if len(self.known) > CACHED_CHUNKS:
+        if len(self.hashes) > CACHED_CHUNKS:
             self.forget()
         data, whole = lowered(data), unusual(data, offsets)
         starts, ends, at = chunk_spans(data, offsets)
         hashes = word_hashes(data, starts, ends)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        number = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        place = np.searchsorted(self.hashes, distinct)
+        number = np.full(len(distinct), -1)
+        met = np.flatnonzero(place < len(self.hashes))
+        met = met[self.hashes[place[met]] == distinct[met]]
+        number[met] = self.numbers[place[met]]
         # chunks that only unusual rows have are not encoded
         usual = np.bincount(inverse[~np.repeat(whole, np.diff(at))], minlength=len(distinct)) > 0
         new = np.flatnonzero((number < 0) & usual)
         if len(new):
             number[new] = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(new))
-            self.known.update(zip(distinct[new].tolist(), number[new].tolist(), strict=True))
+            self.hashes = np.insert(self.hashes, place[new], distinct[new])
+            self.numbers = np.insert(self.numbers, place[new], number[new])
             self.learn(data, starts[first[new]], ends[first[new]])
         index = number[inverse]
         sizes = np.where(index < 0, 0, self.starts[index + 1] - self.starts[index])
@@ -199,7 +204,7 @@ def chunks_of(path: str) -> Chunks:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int, buckets: int):
     coder, number = chunks_of(path), TaskContext.get().partitionId() << 40
-    for batch in slices(batches, "text", 2 << 20):
+    for batch in slices(batches, "text"):
         data, offsets = utf8(batch.column("text"))
         coded, whole = coder.encode(data, offsets)
         rows, start, length, crc, total = [], [], [], [], []

@@ -461,3 +461,23 @@ def test_lines_beyond_the_basic_plane():
     """Hashes of characters by table and by formula are the same."""
     chars = np.array([0, 10, 65, 0x4E00, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF], np.uint32)
     assert (lines.codes(chars) == lines.mix(chars.astype(np.uint64) + np.uint64(77))).all()
+
+
+def test_known_chunks_take_little_memory(monkeypatch):
+    """A worker keeps the ids of many distinct chunks, not Python objects for each; a full table starts anew."""
+    import tracemalloc
+
+    coder, plain = packing.Chunks(Tokenizer.from_file(TOKENIZER)), Tokenizer.from_file(TOKENIZER)
+    texts = [" ".join(f"w{n * 2654435761 % 2**32:x}" for n in range(i, i + 4000)) for i in range(0, 80_000, 4000)]
+    tracemalloc.start()
+    for text in texts:
+        (own,), whole = coder.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert not whole.any()
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert own.tolist() == plain.encode(texts[-1], add_special_tokens=False).ids
+    assert kept < 80 * 80_000, kept / 80_000
+    monkeypatch.setattr(packing, "CACHED_CHUNKS", 100)
+    for text in (texts[0], texts[3], texts[0]):
+        (own,), _ = coder.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert own.tolist() == plain.encode(text, add_special_tokens=False).ids
