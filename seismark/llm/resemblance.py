@@ -7,12 +7,15 @@ what they bring together is decided on the shingles like any other pair. The res
 Of two sets that similar, the first shingles of both, one in five and one more in an order that
 holds for all texts, share one (the prefix filter), so texts meet under those only and no pair is
 lost. The order is by hash, with shingles that a sample shows to be common behind all others, which
-keeps boilerplate from bringing unlike texts together. Pairs that meet are screened by number of
+keeps boilerplate from bringing unlike texts together. From what a pair's first common shingle leaves
+of both texts, those too far down the order to be similar are told at once. Pairs that meet are screened by number of
 shingles and by a parity sketch of a bit per shingle (a differing shingle flips one bit at most), both
 without loss, and then decided on the shingles of both texts.
 
 A large group is joined by stars first: the texts of linked fingerprints, then those of each
 shingle, meet a few centres. Only texts that are still apart then meet pairwise, so near copies cost rows per member and not per pair.
+Before that, shingles that would bring a text together with many others on average, however few of
+all texts that is, go behind the rarer ones too, and the first shingles are taken again in that order.
 
 Edge cases: words are cut at ASCII white space and lower-cased in ASCII; a text of less than five
 words is one shingle; null and blank texts are equal; equal texts take part once.
@@ -41,6 +44,13 @@ HOT_TEXTS = 4
 SKETCH_BITS = 10
 STAR_ROUNDS = 2
 CENTRES = 3
+#: Open pairs a text, on average, from which a shingle is crowded. While such pairs are more than one in so
+#: many entries, their shingles go behind the others, a few times at most and so many shingles at a time (an
+#: even share, if there are more; what stays costs pairs only).
+CROWD = 2
+ENTRIES_A_PAIR = 4
+REORDERS = 3
+MOVED_AT_ONCE = 1_000_000
 PARTITION_ENTRIES = 1_000_000
 
 
@@ -82,9 +92,22 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hot[order], rank[order]
 
 
-def prefix_rows(texts: DataFrame) -> DataFrame:
-    """(key, node, size): the first shingles of every text, and how many it has."""
-    shared = texts.sparkSession.sparkContext.broadcast(common_shingles(texts))
+ENTRY = ["key", "node", "size", "place"]
+
+
+def prefix_rows(texts: DataFrame, late: np.ndarray | None = None) -> DataFrame:
+    """(key, node, size, place): the first shingles of every text, how many it has, and those before.
+
+    The shingles ``late``, in their order, come behind all others but the common ones.
+    """
+    hot, rank = common_shingles(texts)
+    if late is not None:
+        late = late.view(np.uint64)
+        late = late[~np.isin(late, hot)]
+        hot, rank = np.concatenate([late, hot]), np.concatenate([np.arange(len(late), dtype=np.uint64), rank + np.uint64(len(late))])
+        order = np.argsort(hot)
+        hot, rank = hot[order], rank[order]
+    shared = texts.sparkSession.sparkContext.broadcast((hot, rank))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, rank = shared.value
@@ -100,10 +123,11 @@ def prefix_rows(texts: DataFrame) -> DataFrame:
             keep = inner < (size - -(-size * PART // WHOLE) + 1)[row]
             own = row[keep]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(value[order][keep])), batch.column("text_hash").take(pa.array(own)), pa.array(size[own])], names=["key", "node", "size"]
+                [pa.array(signed(value[order][keep])), batch.column("text_hash").take(pa.array(own)), pa.array(size[own]), pa.array(inner[keep])],
+                names=ENTRY,
             )
 
-    return texts.select("text_hash", "text").mapInArrow(run, "key long, node long, size long")
+    return texts.select("text_hash", "text").mapInArrow(run, ", ".join(f"{c} long" for c in ENTRY))
 
 
 def by_key(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.ndarray] | None:
@@ -122,9 +146,9 @@ def by_key(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.ndarray] |
 
 
 def met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = by_key(batches, "key", "node", "size")
+    found = by_key(batches, *ENTRY)
     if found:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["key", "node", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=ENTRY)
 
 
 def pair_rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -146,22 +170,71 @@ def star_pairs(batches: Iterator[pa.RecordBatch], salts: range) -> Iterator[pa.R
         yield pair_rows(node[fits], node[centre[fits]])
 
 
+def group_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where the groups of equal rows begin; the rows of one lie together."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(fresh)
+
+
+def open_rows(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
+    """(key, node, size, place, component, limit) by key and size, without the keys of one component.
+
+    A text is similar to one that is no smaller, if the key is the first they share, only up to the
+    size ``limit``: of both together PART of (WHOLE + PART) of the shingles are in both at least.
+    """
+    found = by_key(batches, *ENTRY, "component")
+    if not found:
+        return None
+    key, _, size, place, component = found
+    first = group_starts(key)
+    several = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
+    order = np.lexsort((size, key))
+    order = order[np.repeat(several, np.diff(np.append(first, len(key))))]
+    key, node, size, place, component = (c[order] for c in found)
+    limit = np.minimum(size * WHOLE // PART, (size - place) * (WHOLE + PART) // PART - size)
+    return (key, node, size, place, component, limit) if len(key) else None
+
+
+def crowded_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, pairs): the keys under which many pairs of a text are open, and how many at most."""
+    found = open_rows(batches)
+    if not found:
+        return
+    key, _, size, _, component, limit = found
+    first = group_starts(key)
+    count = np.diff(np.append(first, len(key)))
+    # pairs of texts that are not joined yet
+    order = np.lexsort((component, key))
+    joined = group_starts(key[order], component[order])
+    members = np.diff(np.append(joined, len(key)))
+    apart = count * (count - 1) // 2 - np.add.reduceat(members * (members - 1) // 2, np.searchsorted(joined, first))
+    # pairs whose sizes fit
+    most = int(size.max())
+    above = np.repeat(np.arange(len(first)) * (most + 1), count)
+    reached = np.searchsorted(above + size, above + np.minimum(limit, most), "right")
+    fitting = np.add.reduceat(np.maximum(reached - 1 - np.arange(len(key)), 0), first)
+    pairs = np.minimum(apart, fitting)
+    many = pairs > CROWD * count
+    yield pa.RecordBatch.from_arrays([pa.array(key[first][many]), pa.array(pairs[many])], names=["key", "pairs"])
+
+
 def open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of texts under a key that are not joined yet and whose sizes fit."""
-    found = by_key(batches, "key", "node", "size", "component")
+    """All pairs of texts under a key that are not joined yet, whose sizes fit, and that may be
+    similar if the key is the first they share."""
+    found = open_rows(batches)
     if not found:
         return
-    key, node, size, component = found
-    edges = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key))
+    key, node, size, place, component, limit = found
+    edges = np.append(group_starts(key), len(key))
     last = np.repeat(edges[1:], np.diff(edges))
-    # under a key by size, so that the fitting partners of a text are the rows right behind it
-    order = np.lexsort((size, key))
-    node, size, component = node[order], size[order], component[order]
-    at, gap = np.arange(len(key)), 1
+    at, gap, rest = np.arange(len(key)), 1, size - place
+    # by size, the fitting partners of a text are the rows right behind it
     while len(at):
         at = at[at + gap < last[at]]
-        at = at[WHOLE * size[at] >= PART * size[at + gap]]
-        apart = at[component[at] != component[at + gap]]
+        at = at[limit[at] >= size[at + gap]]
+        shared = (WHOLE + PART) * rest[at + gap] >= PART * (size[at] + size[at + gap])
+        apart = at[shared & (component[at] != component[at + gap])]
         if len(apart):
             yield pair_rows(node[apart], node[apart + gap])
         gap += 1
@@ -266,18 +339,49 @@ def similar_groups(documents: DataFrame, text_column: str = "text") -> DataFrame
     texts = written(once.unionByName(copies), "resemblance-texts", free_shuffles=True)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = 1 + int(size / 25 / PARTITION_ENTRIES)  # words of five letters, one in five a key
-    entry = "key long, node long, size long"
-    entries = written(prefix_rows(texts).repartition(partitions, "key").mapInArrow(met_again, entry), "resemblance-entries", free_shuffles=True)
     sketches = written(sketch_rows(texts), "resemblance-sketches")
-    links, joined = None, None
-    for number in range(STAR_ROUNDS + 2):  # the first by fingerprints
-        rows = entries.join(joined, "node", "left") if joined else fingerprint_rows(sketches).withColumn("component", F.col("node"))
-        rows = rows.select("key", "node", "size", F.coalesce("component", "node").alias("component")).repartition(partitions, "key")
+
+    def entries_of(rows: DataFrame) -> DataFrame:
+        met = rows.repartition(partitions, "key").mapInArrow(met_again, ", ".join(f"{c} long" for c in ENTRY))
+        return written(met, "resemblance-entries", free_shuffles=True)
+
+    def with_components(rows: DataFrame, joined: DataFrame) -> DataFrame:
+        rows = rows.join(joined, "node", "left").select(*ENTRY, F.coalesce("component", "node").alias("component"))
+        return rows.repartition(partitions, "key")
+
+    def joined_by(links: DataFrame) -> DataFrame:
+        return written(components(links, "resemblance-components"), "resemblance-joined")
+
+    entries, links, joined = entries_of(prefix_rows(texts)), None, None
+    for number in range(STAR_ROUNDS + 1):  # the first by fingerprints
+        if joined:
+            rows = with_components(entries, joined)
+        else:
+            rows = fingerprint_rows(sketches).withColumn("component", F.col("node")).repartition(partitions, "key")
         salts = range(CENTRES * number, CENTRES * number + CENTRES)
-        pairs = rows.mapInArrow(open_pairs if number > STAR_ROUNDS else lambda batches, salts=salts: star_pairs(batches, salts), "a long, b long")
+        pairs = rows.mapInArrow(lambda batches, salts=salts: star_pairs(batches, salts), "a long, b long")
         found = similar_pairs(pairs, texts, sketches)
         links = links.unionByName(found) if links else found
-        joined = written(components(links, "resemblance-components"), "resemblance-joined")
+        joined = joined_by(links)
+    late = np.empty(0, np.int64)
+    for _ in range(REORDERS):
+        rows = with_components(entries, joined).mapInArrow(crowded_keys, "key long, pairs long")
+        crowded = written(rows, "resemblance-crowded", free_shuffles=True)
+        n, met = crowded.agg(F.count("key"), F.sum("pairs")).first()
+        if ENTRIES_A_PAIR * (met or 0) <= entries.count():
+            break
+        moved = crowded.where(F.pmod("key", F.lit(-(-n // MOVED_AT_ONCE))) == 0).toArrow()
+        key, often = moved["key"].to_numpy(), moved["pairs"].to_numpy()
+        key = key[np.lexsort((key, often))]
+        discard(crowded)
+        fresh = key[~np.isin(key, late)]
+        if not len(fresh):
+            break
+        discard(entries)
+        late = np.concatenate([fresh, late])
+        entries = entries_of(prefix_rows(texts, late))
+    pairs = with_components(entries, joined).mapInArrow(open_pairs, "a long, b long")
+    joined = joined_by(links.unionByName(similar_pairs(pairs, texts, sketches)))
     named = texts.select("text_hash").join(joined.withColumnRenamed("node", "text_hash"), "text_hash", "left")
     groups = named.select("text_hash", F.coalesce("component", "text_hash").alias("component"))
     groups = written(groups, "resemblance-groups", free_shuffles=True)

@@ -114,6 +114,55 @@ def test_fingerprints_are_linked_within_two_bits(spark):
     assert key[0] == key[1] == key[2] and key[3] == key[4] and len(set(key.values())) == 3
 
 
+def test_shared_passages_do_not_bring_every_pair_of_their_texts_together(spark, monkeypatch):
+    """Each passage stands in too few texts for a sample to tell, and in enough to meet pairwise."""
+    from seismark.llm import resemblance
+
+    passages = [speak(30) for _ in range(12)]
+    texts = [" ".join([speak(50 + n % 20), passages[n % 12], speak(60)]) for n in range(12 * 40)]
+    near = [edited(t, 2) for t in texts[:24]]
+    boilerplate = [" ".join([passages[n % 12], passages[n % 11], speak(n % 7)]) for n in range(48)]
+    every = sorted({*texts, *near, *boilerplate})
+    made, old = [], resemblance.similar_pairs
+
+    def counted(pairs, *others):
+        made.append(pairs.distinct().count())
+        return old(pairs, *others)
+
+    monkeypatch.setattr(resemblance, "similar_pairs", counted)
+    group = groups_by_brute_force(every)
+    first = {g: group.index(g) for g in set(group)}
+    assert len(first) <= len(every) - 24
+    assert kept(spark, list(enumerate(every))) == sorted(((i, every[i]) for i in first.values()), key=str)
+    assert made[-1] < len(every)
+
+
+def test_open_pairs_lose_none_and_crowded_keys_bound_them():
+    """Under any one key: the pairs of different groups that may be similar, and no fewer than that counted."""
+    import pyarrow as pa
+
+    from seismark.llm import resemblance
+
+    rng = np.random.default_rng(4)
+    n = 400
+    size = rng.integers(1, 60, n)
+    columns = [rng.integers(0, 6, n), rng.permutation(n), size, rng.integers(0, size // 5 + 1), rng.integers(0, 40, n)]
+    columns[4][columns[0] == 5] = 1  # all joined
+    key, node, size, place, group = columns
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "size", "place", "component"])
+    want = {}
+    for a, b in combinations(range(n), 2):
+        if key[a] == key[b] and group[a] != group[b] and 5 * min(size[a], size[b]) >= 4 * max(size[a], size[b]):
+            if 9 * min(size[a] - place[a], size[b] - place[b]) >= 4 * (size[a] + size[b]):
+                want.setdefault(key[a], set()).add(tuple(sorted((node[a], node[b]))))
+    found = [p for b in resemblance.open_pairs(iter([batch])) for p in zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True)]
+    assert len(found) == len(set(found)) and set(found) == set().union(*want.values())
+    crowded = {k: p for b in resemblance.crowded_keys(iter([batch])) for k, p in zip(b["key"].to_pylist(), b["pairs"].to_pylist(), strict=True)}
+    members = {k: int((key == k).sum()) for k in range(6)}
+    assert crowded and 5 not in crowded
+    assert all(len(pairs) <= max(crowded.get(k, 0), resemblance.CROWD * members[k]) for k, pairs in want.items())
+
+
 def test_batches_of_texts_are_small_unless_the_session_says_otherwise(spark):
     """Every stage that holds whole texts in its tasks bounds the batches by bytes, not by rows alone."""
     from seismark.llm import passages
