@@ -98,14 +98,15 @@ def one_of_each(documents: DataFrame, groups: DataFrame, id_column: str = "doc_i
     return renamed_back(alone.select(*names.values()).unionByName(stays.select(*names.values())), names)
 
 
-def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, label: str, rounds: int = 60, free: bool = False) -> DataFrame:
     """(node, component) of every node of an edge list (a, b), the smallest node naming it.
 
     Alternates large-star and small-star steps until the edges are stars that stay as they are.
-    Minima are combined before the shuffle, and each round is a written table.
+    Minima are combined before the shuffle, and each round is a written table. With ``free`` the
+    shuffles and the table of a round go when the next one is written.
     """
     spark = edges.sparkSession
-    current = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    current = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label, free)
     state = None
     for _ in range(rounds):
         found = current.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -117,7 +118,9 @@ def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        current = written(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), label)
+        last, current = current, written(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), label, free)
+        if free:
+            discard(last)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -270,7 +270,7 @@ def sketch_rows(texts: DataFrame) -> DataFrame:
 def fingerprint_rows(sketches: DataFrame) -> DataFrame:
     """(key, node, size): every text under the group that links of fingerprints make of its own."""
     codes = written(sketches.select("code").distinct(), "resemblance-codes", free_shuffles=True)
-    linked = components(simhash.near_duplicate_links(codes), "resemblance-fingerprints").withColumnRenamed("node", "code")
+    linked = components(simhash.near_duplicate_links(codes), "resemblance-fingerprints", free=True).withColumnRenamed("node", "code")
     grouped = sketches.select("node", "size", "code").join(linked, "code", "left")
     return grouped.select(F.coalesce("component", "code").alias("key"), "node", "size")
 
@@ -350,7 +350,7 @@ def similar_groups(documents: DataFrame, text_column: str = "text") -> DataFrame
         return rows.repartition(partitions, "key")
 
     def joined_by(links: DataFrame) -> DataFrame:
-        return written(components(links, "resemblance-components"), "resemblance-joined")
+        return written(components(links, "resemblance-components", free=True), "resemblance-joined", free_shuffles=True)
 
     entries, links, joined = entries_of(prefix_rows(texts)), None, None
     for number in range(STAR_ROUNDS + 1):  # the first by fingerprints
